@@ -89,12 +89,12 @@ ENTRIES = {
         a2,
         oracle(
             """SELECT cuisine_type, cuisine_recipes, name, mentions, CAST(rank AS INT) AS rank FROM (
-                 SELECT cuisine_type, cuisine_recipes, name, count(*) AS mentions,
-                   row_number() OVER (PARTITION BY cuisine_type ORDER BY count(*) DESC, name) AS rank
-                 FROM lines JOIN recipes ON recipe_id = id JOIN
-                   (SELECT cuisine_type, count(*) AS cuisine_recipes FROM recipes WHERE cuisine_type IS NOT NULL
-                    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) USING (cuisine_type)
-                 GROUP BY ALL) WHERE rank <= 10"""
+                 SELECT *, row_number() OVER (PARTITION BY cuisine_type ORDER BY mentions DESC, name) AS rank FROM (
+                   SELECT cuisine_type, cuisine_recipes, name, count(*) AS mentions
+                   FROM lines JOIN recipes ON recipe_id = id JOIN
+                     (SELECT cuisine_type, count(*) AS cuisine_recipes FROM recipes WHERE cuisine_type IS NOT NULL
+                      GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) USING (cuisine_type)
+                   GROUP BY 1, 2, 3)) WHERE rank <= 10"""
         ),
     ),
     "A3_ingredient_frequency": (
