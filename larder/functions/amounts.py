@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from html.entities import name2codepoint
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +24,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+_columns: dict[tuple, Column] = {}
+
+
+def constant(build: Callable[[], Column]) -> Column:
+    """A constant column such as a lookup map, built once per driver connection."""
+    key = (id(SparkContext._gateway), build)
+    if key not in _columns:
+        _columns[key] = build()
+    return _columns[key]
+
+
 def _unit_map() -> Column:
     pairs = []
     for name, abbreviation, kind, spellings in lexicon.UNITS:
@@ -33,7 +45,7 @@ def _unit_map() -> Column:
 
 def unit_of(spelling: Column) -> Column:
     """Canonical unit and its type for a spelling; null when it is not a unit."""
-    return F.try_element_at(_unit_map(), spelling)
+    return F.try_element_at(constant(_unit_map), spelling)
 
 
 def parse_amount(c: Column) -> Column:
@@ -64,12 +76,16 @@ def parse_amount(c: Column) -> Column:
     )
 
 
+def _entity_map() -> Column:
+    return F.create_map(*[F.lit(v) for n, code in sorted(name2codepoint.items()) for v in (n, chr(code))])
+
+
 def unescape(c: Column) -> Column:
     """Resolve HTML entities: the named ones of HTML 4 and all numeric ones.
 
     Each entity that occurs is replaced as a whole; `&amp;` goes last so that nothing is resolved twice.
     """
-    names = F.create_map(*[F.lit(v) for n, code in sorted(name2codepoint.items()) for v in (n, chr(code))])
+    names = constant(_entity_map)
 
     def character(entity: Column) -> Column:
         inner = F.substring_index(F.substring(entity, 2, 12), ";", 1)

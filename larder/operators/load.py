@@ -8,8 +8,7 @@ staging path, so a title repeated in a third of the batch does not end up in one
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from larder import lexicon, schemas
 from larder.functions.amounts import clean_name, let, minutes, parse_amount, total_minutes
 from larder.functions.identity import dense_ids, recipe_uuid
 from larder.functions.text import contains_any, strip, word_count
+from larder.functions.staging import once
 from larder.operators.skew import hot_key_join
 
 
@@ -115,30 +115,42 @@ def skip_reason(item: Column) -> Column:
     return let(F.lower(item), lambda lower: let(strip(item), lambda bare: rules(bare, lower)))
 
 
-def prepare_lines(ingredients: str = "ingredients") -> Column:
-    """Array of cleaned lines with skip reason; the order index counts skipped items too."""
-
-    def prepared(i: Column, index: Column) -> Column:
-        reason = skip_reason(i["item"])
-        return F.struct(
+def check_lines(ingredients: str = "ingredients") -> Column:
+    """Array of items with skip reason; the order index counts skipped items too."""
+    return F.transform(
+        explode_blobs(ingredients),
+        lambda i, index: F.struct(
             (index + 1).alias("order_index"),
             i["item"].alias("item"),
-            reason.alias("reason"),
-            F.when(reason.isNull(), clean_name(i["item"])).alias("name"),
+            i["amount"].alias("amount"),
+            i["notes"].alias("notes"),
+            skip_reason(i["item"]).alias("reason"),
+        ),
+    )
+
+
+def prepare_lines(checked: str = "checked") -> Column:
+    """The checked lines with clean name, parsed amount and shortened notes."""
+    return F.transform(
+        checked,
+        lambda i: F.struct(
+            i["order_index"].alias("order_index"),
+            i["item"].alias("item"),
+            i["reason"].alias("reason"),
+            F.when(i["reason"].isNull(), clean_name(i["item"])).alias("name"),
             parse_amount(i["amount"]).alias("parsed"),
             F.when(i["notes"] != "", F.substring(i["notes"], 1, 500)).alias("notes"),
-        )
-
-    return F.transform(explode_blobs(ingredients), prepared)
+        ),
+    )
 
 
 def clean_staged(staged: DataFrame) -> DataFrame:
     """Staged records as load candidates: recipe columns, prepared lines and the first problem found."""
-    prepared = (
-        clean_fields(staged)
-        .withColumn("lines", F.when(valid_staged(), prepare_lines()))
-        .withColumn("n_total", F.coalesce(F.size("lines"), F.lit(0)))
-        .withColumn("n_valid", F.coalesce(F.size(F.filter("lines", lambda x: x["reason"].isNull())), F.lit(0)))
+    prepared = once(clean_fields(staged), checked=F.when(valid_staged(), check_lines())).withColumns(
+        {
+            "n_total": F.coalesce(F.size("checked"), F.lit(0)),
+            "n_valid": F.coalesce(F.size(F.filter("checked", lambda x: x["reason"].isNull())), F.lit(0)),
+        }
     )
     too_few = F.format_string(
         "too few valid ingredients (%d valid, %d skipped of %d)",
@@ -158,10 +170,10 @@ def clean_staged(staged: DataFrame) -> DataFrame:
         F.col("cuisine").alias("cuisine_type"),
         F.col("mealType").alias("meal_type"),
         F.col("dietaryTags").alias("dietary_tags"),
-        "lines",
+        prepare_lines().alias("lines"),
         "n_total",
         "n_valid",
-        F.when(F.col("lines").isNull(), "record does not fulfil the schema")
+        F.when(F.col("checked").isNull(), "record does not fulfil the schema")
         .when(F.col("n_valid") < 2, too_few)
         .when(strip(F.col("title")) == "", "recipe title is blank")
         .alias("problem"),
@@ -270,17 +282,6 @@ def link_lines(
     return ingredients, measurements, rows
 
 
-@dataclass
-class Load:
-    """Result of a load: the complete new state of the four tables and the status of every record."""
-
-    recipes: DataFrame
-    ingredients: DataFrame
-    measurements: DataFrame
-    recipe_ingredients: DataFrame
-    status: DataFrame
-
-
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """Empty tables with the seed measurements."""
     seed = [(i + 1, *m) for i, m in enumerate(lexicon.SEED_MEASUREMENTS)]
@@ -295,46 +296,71 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
-def load_recipes(
-    staged: DataFrame,
-    tables: dict[str, DataFrame],
-    now: Column | None = None,
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> Load:
-    """Load staged records (M4 columns and a unique `path`) on top of the stored tables.
+class Load:
+    """A load of staged records (M4 columns and a unique `path`) on top of the stored tables.
 
-    `cut` may materialise the decisions (for example with a checkpoint) so that the tables written one
-    after the other do not repeat the deduplication.
+    The attributes are the complete new state of the four tables and the status of every record; each
+    is planned only when it is used.  `cut` may materialise the cleaned records and the decisions (for
+    example with a checkpoint), so that writing the tables one after the other does not repeat them.
     """
-    now = F.current_timestamp() if now is None else now
-    candidates = clean_staged(staged)
-    decided = cut(decide_titles(candidates, tables["recipes"]))
-    accepted = decided.where("state = 'loaded'").select(
-        F.col("first_path").alias("path"), F.col("recipe_id").alias("id")
-    )
-    rows = candidates.join(accepted, "path")  # both sides unique on path
-
-    blank = {c: F.lit(None) for c in tables["recipes"].columns}
-    fixed = {
-        **blank,
-        **{c: F.col(c) for c in candidates.columns if c in blank},
-        "id": F.col("id"),
-        "created_at": now,
-        "updated_at": now,
-    }
-    types = dict(tables["recipes"].dtypes)
-    new_recipes = rows.select(*[fixed[c].cast(types[c]).alias(c) for c in tables["recipes"].columns])
 
-    ingredients, measurements, bridge = link_lines(
-        kept_lines(rows), tables["ingredients"], tables["measurements"], now
-    )
-    return Load(
-        recipes=tables["recipes"].unionByName(new_recipes),
-        ingredients=ingredients,
-        measurements=measurements,
-        recipe_ingredients=tables["recipe_ingredients"].unionByName(bridge),
-        status=load_status(candidates, decided),
-    )
+    def __init__(
+        self,
+        staged: DataFrame,
+        tables: dict[str, DataFrame],
+        now: Column | None = None,
+        cut: Callable[[DataFrame], DataFrame] = lambda df: df,
+    ):
+        self.tables = tables
+        self.now = F.current_timestamp() if now is None else now
+        self.candidates = cut(clean_staged(staged))
+        self.decided = cut(decide_titles(self.candidates, tables["recipes"]))
+
+    @cached_property
+    def new_rows(self) -> DataFrame:
+        """Cleaned records that become recipes, with their new ids."""
+        accepted = self.decided.where("state = 'loaded'").select(
+            F.col("first_path").alias("path"), F.col("recipe_id").alias("id")
+        )
+        return self.candidates.join(accepted, "path")  # both sides unique on path
+
+    @cached_property
+    def recipes(self) -> DataFrame:
+        stored = self.tables["recipes"]
+        made = {c: F.col(c) for c in ["id", *self.candidates.columns]}
+        made |= {"created_at": self.now, "updated_at": self.now}
+        new = [made.get(c, F.lit(None)).cast(t).alias(c) for c, t in stored.dtypes]
+        return stored.unionByName(self.new_rows.select(*new))
+
+    @cached_property
+    def _linked(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return link_lines(
+            kept_lines(self.new_rows), self.tables["ingredients"], self.tables["measurements"], self.now
+        )
+
+    @property
+    def ingredients(self) -> DataFrame:
+        return self._linked[0]
+
+    @property
+    def measurements(self) -> DataFrame:
+        return self._linked[1]
+
+    @property
+    def recipe_ingredients(self) -> DataFrame:
+        return self.tables["recipe_ingredients"].unionByName(self._linked[2])
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return load_status(self.candidates, self.decided)
+
+    def as_tables(self) -> dict[str, DataFrame]:
+        return {
+            "recipes": self.recipes,
+            "ingredients": self.ingredients,
+            "measurements": self.measurements,
+            "recipe_ingredients": self.recipe_ingredients,
+        }
 
 
 def load_report(status: DataFrame) -> DataFrame:
@@ -426,38 +452,56 @@ def violations(
     return reduce(DataFrame.unionByName, parts)
 
 
-def reload_recipes(
-    staged: DataFrame, uuids: DataFrame, tables: dict[str, DataFrame], now: Column,
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> tuple[Load, DataFrame]:
-    """Load the staged records of some uuids again: known titles are updated, others are inserted.
+class Reload(Load):
+    """Load the staged records of some uuids again: known titles are updated, others are inserted."""
+
+    def __init__(
+        self,
+        staged: DataFrame,
+        uuids: DataFrame,
+        tables: dict[str, DataFrame],
+        now: Column | None = None,
+        cut: Callable[[DataFrame], DataFrame] = lambda df: df,
+    ):
+        self.chosen = staged.join(uuids.select("uuid").distinct(), "uuid", "left_semi")
+        super().__init__(self.chosen, tables, now, cut)
+
+    @cached_property
+    def drift(self) -> DataFrame:
+        """Staged uuid next to the one the title gives today."""
+        today = recipe_uuid(F.col("title"))
+        return self.chosen.select(
+            "path", "title", "uuid", today.alias("current_uuid"), (F.col("uuid") != today).alias("drift")
+        )
 
-    Also returns the uuid drift report: staged uuid next to the one its title gives today.
-    """
-    chosen = staged.join(uuids.select("uuid").distinct(), "uuid", "left_semi")
-    drift = chosen.select(
-        "path", "title", "uuid", recipe_uuid(F.col("title")).alias("current_uuid"),
-    ).withColumn("drift", F.col("uuid") != F.col("current_uuid"))
-
-    # known titles leave first, keeping their ids, then everything chosen is loaded as new
-    candidates = clean_staged(chosen).where(F.col("problem").isNull())
-    latest = candidates.groupBy("title").agg(F.max_by(F.struct(*candidates.columns), "path").alias("r")).select("r.*")
-    known = tables["recipes"].select("id", "title")
-    updates = latest.join(known, "title").select(
-        "id", "description", "instructions", "prep_time_minutes", "cook_time_minutes", "total_time_minutes",
-        "difficulty", "cuisine_type", "meal_type", "dietary_tags",
-    )
-    loaded = load_recipes(chosen, tables, now, cut)
-    ingredients, measurements, lines = link_lines(
-        kept_lines(latest.join(known, "title")), loaded.ingredients, loaded.measurements, now
-    )
-    return (
-        Load(
-            recipes=update_recipes(loaded.recipes, updates, now),
-            ingredients=ingredients,
-            measurements=measurements,
-            recipe_ingredients=replace_lines(loaded.recipe_ingredients, lines),
-            status=loaded.status,
-        ),
-        drift,
-    )
+    @cached_property
+    def _updates(self) -> DataFrame:
+        """The last staged record of every title that is stored already, under the stored id."""
+        valid = self.candidates.where(F.col("problem").isNull())
+        last = valid.groupBy("title").agg(F.max("path").alias("path"))
+        known = last.join(self.tables["recipes"].select("id", "title"), "title").select("id", "path")
+        return valid.join(known, "path")  # both sides unique on path
+
+    @cached_property
+    def recipes(self) -> DataFrame:
+        fields = ["id", *[c for c in self.tables["recipes"].columns if c in self.candidates.columns and c != "uuid"]]
+        return update_recipes(super().recipes, self._updates.select(*fields), self.now)
+
+    @cached_property
+    def _linked(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        rows = self.new_rows.select("id", "lines").unionByName(self._updates.select("id", "lines"))
+        return link_lines(kept_lines(rows), self.tables["ingredients"], self.tables["measurements"], self.now)
+
+    @property
+    def recipe_ingredients(self) -> DataFrame:
+        return replace_lines(self.tables["recipe_ingredients"], self._linked[2])
+
+
+def load_recipes(staged: DataFrame, tables: dict[str, DataFrame], now: Column | None = None, **options) -> Load:
+    return Load(staged, tables, now, **options)
+
+
+def reload_recipes(
+    staged: DataFrame, uuids: DataFrame, tables: dict[str, DataFrame], now: Column | None = None, **options
+) -> Reload:
+    return Reload(staged, uuids, tables, now, **options)

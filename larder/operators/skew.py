@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> DataFrame:
-    """Keys that hold more than `share` of all rows: by arithmetic at most 1/share of them."""
+def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> Column:
+    """Keys that hold more than `share` of the rows, as an array.
+
+    By arithmetic there are at most 1/share of them, whatever the size of the data.  The array is a
+    scalar subquery: one aggregation with map-side combine, evaluated once per query.
+    """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = df.select(F.count("*").alias("_total")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(F.col(key).alias("_hot"))
+    totals = counts.agg(F.sum("_n").alias("_total")).scalar()
+    return (
+        counts.where(F.col("_n") > totals * F.lit(share))
+        .agg(F.collect_list(key).alias("_hot"))
+        .scalar()
+    )
 
 
 def hot_key_join(
@@ -26,20 +34,10 @@ def hot_key_join(
     Rows of a hot key get one of `slices` salts and its single row on the other side is repeated per
     salt, so no task sees more than a slice of it.  All other keys join as usual.  Nothing is dropped.
     """
-    # the list is bounded by 1/share rows, whatever the size of the data
-    hot = F.broadcast(hot_keys(facts, key, share))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns if c != key] or [F.lit(0)]), F.lit(slices))
-    left = (
-        facts.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)).cast("int"))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = (
-        keyed.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
+    is_hot = F.coalesce(F.array_contains(hot_keys(facts, key, share), F.col(key)), F.lit(False))
+    others = [F.col(c) for c in facts.columns if c != key]
+    spread = F.pmod(F.xxhash64(*others), F.lit(slices)).cast("int") if others else F.lit(0)
+    left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
+    right = keyed.withColumn("_salt", F.explode(copies))
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.functions.staging import spread
+
 DISHES = ["curry", "soup", "salad", "cake", "stew", "pasta", "tart", "roast", "dip", "bowl"]
 MEALS = {
     "1-URGENT": "breakfast",
@@ -39,7 +41,7 @@ def _choose(c: Column, mapping: dict[str, str]) -> Column:
     return chosen
 
 
-def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def recipes(spark: SparkSession, sf_dir: str, cpu_heavy: bool = False) -> DataFrame:
     """One recipe per order; author attributes come from the customer and the part of the same number."""
     authors = (
         table(spark, sf_dir, "customer")
@@ -54,8 +56,9 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(*[F.lit(d) for d in DISHES]), (k % 10 + 1).cast("int")),
         (k % 97).cast("string"),
     )
+    orders = table(spark, sf_dir, "orders")
     return (
-        table(spark, sf_dir, "orders")
+        (spread(orders) if cpu_heavy else orders)
         .join(authors, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             k.alias("id"),

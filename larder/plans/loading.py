@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from larder import lexicon
 from larder.functions.identity import recipe_uuid
+from larder.functions.staging import once
 from larder.operators import load
 from larder.plans.corpus import oracle, recipes, table
+from larder.session import checkpointed
 
 AMOUNTS = [
     "1 1/2 cups", "2-3 tbsp", "200g", "1/2 tsp", "to taste", "", "2 large", "cup", "1 1/0 cup", "½ cup",
@@ -34,7 +36,7 @@ def _pick(values, by):
 def staged(spark, sf_dir):
     """One staged record per order, with the faults the load rules deal with."""
     k, c = F.col("id"), F.col("author")
-    source = recipes(spark, sf_dir).withColumn("author", F.col("reddit_author").cast("bigint"))
+    source = recipes(spark, sf_dir, cpu_heavy=True).withColumn("author", F.col("reddit_author").cast("bigint"))
     third = F.when(k % 9 == 0, F.lit("cook the rice")).otherwise(F.concat(F.lit("Olive oil "), (c % 50).cast("string")))
     line = lambda item, amount, notes: F.struct(item.alias("item"), amount.alias("amount"), notes.alias("notes"))
     none = F.lit(None).cast("string")
@@ -83,7 +85,7 @@ def _stored(spark, sf_dir):
 
 
 def _loaded(spark, sf_dir):
-    return load.load_recipes(staged(spark, sf_dir), _stored(spark, sf_dir), F.lit(NOW))
+    return load.load_recipes(staged(spark, sf_dir), _stored(spark, sf_dir), F.lit(NOW), cut=checkpointed)
 
 
 def l1_l3(spark, sf_dir):
@@ -99,7 +101,8 @@ def l4(spark, sf_dir):
 
 def _lines(spark, sf_dir):
     df = staged(spark, sf_dir)
-    return df.select("path", F.explode(load.prepare_lines()).alias("l"))
+    checked = once(df.select("path", "ingredients"), checked=load.check_lines())
+    return checked.select("path", F.explode(load.prepare_lines()).alias("l"))
 
 
 def l5_l6(spark, sf_dir):
@@ -222,15 +225,15 @@ def l24_drift(spark, sf_dir):
         "uuid", F.when(F.col("path").endswith("7"), recipe_uuid(F.concat(F.col("title"), F.lit("!")))).otherwise(F.col("uuid"))
     )
     wanted = s.where("path LIKE '%3' OR path LIKE '%17'").select("uuid")
-    _, drift = load.reload_recipes(s, wanted, _stored(spark, sf_dir), F.lit(NOW))
-    return drift.select("path", "uuid", "current_uuid", "drift")
+    again = load.reload_recipes(s, wanted, _stored(spark, sf_dir), F.lit(NOW))
+    return again.drift.select("path", "uuid", "current_uuid", "drift")
 
 
 def l24_recipes(spark, sf_dir):
     s = staged(spark, sf_dir)
     wanted = s.where("path LIKE '%3' OR path LIKE '%17'").select("uuid")
-    result, _ = load.reload_recipes(s, wanted, _stored(spark, sf_dir), F.lit(NOW))
-    return result.recipes.groupBy("title").agg(
+    again = load.reload_recipes(s, wanted, _stored(spark, sf_dir), F.lit(NOW))
+    return again.recipes.groupBy("title").agg(
         F.max("difficulty").alias("difficulty"), F.max("total_time_minutes").alias("total"), F.count("*").alias("n")
     )
 
@@ -384,8 +387,15 @@ measurement_rows AS (
 """
 
 
-def _sql(query: str) -> str:
-    return oracle(query, STAGED_CTES)
+def _uuid_of(h: str) -> str:
+    return (
+        f"{h}[1:8] || '-' || {h}[9:12] || '-5' || {h}[14:16] || '-' || "
+        f"translate({h}[17:17], '0123456789abcdef', '89ab89ab89ab89ab') || {h}[18:20] || '-' || {h}[21:32]"
+    )
+
+
+def _sql(query: str, more: str = "") -> str:
+    return oracle(query, STAGED_CTES + (", " + more if more else ""))
 
 
 _CLEAN_SQL = f"""SELECT path, {_time('prep_text')} AS "prepTime", {_time('cook_text')} AS "cookTime",
@@ -419,7 +429,7 @@ ENTRIES = {
         l12_l13,
         _sql(
             """SELECT path, CAST(length(short_title) AS INT) AS title_length,
-               CAST(least(length(description), 1000) AS INT) AS description_length, n_total, n_valid, problem FROM checked"""
+               CASE WHEN description IS NOT NULL THEN CAST(least(length(description), 1000) AS INT) END AS description_length, n_total, n_valid, problem FROM checked"""
         ),
     ),
     "L15_L18_load_status": (l15_l18, _sql("SELECT path, title, uuid, status, recipe_id, error FROM status")),
@@ -491,8 +501,36 @@ ENTRIES = {
                  || h[18:20] || '-' || h[21:32] AS uuid FROM hr WHERE id % 50 <> 7)""",
         ),
     ),
-    "L24_reload_drift": (l24_drift, None),
-    "L24_reload_recipes": (l24_recipes, None),
+    "L24_reload_drift": (
+        l24_drift,
+        _sql(
+            f"""SELECT path, uuid, current_uuid, uuid <> current_uuid AS drift FROM (
+                  SELECT path, CASE WHEN id % 10 = 7 THEN {_uuid_of("h2")} ELSE uuid END AS uuid, uuid AS current_uuid FROM (
+                    SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(lower(trim(title || '!')) || ':')) AS h2 FROM named))
+                WHERE uuid IN (SELECT CASE WHEN id % 10 = 7 THEN {_uuid_of("h2")} ELSE uuid END FROM (
+                    SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(lower(trim(title || '!')) || ':')) AS h2 FROM named)
+                  WHERE path LIKE '%3' OR path LIKE '%17')"""
+        ),
+    ),
+    "L24_reload_recipes": (
+        l24_recipes,
+        _sql(
+            f"""SELECT title, max(difficulty) AS difficulty, max(total) AS total, count(*) AS n FROM (
+                  SELECT s.title, u.difficulty, u.total FROM stored s LEFT JOIN updated u ON s.title = u.short_title
+                  UNION ALL SELECT short_title, difficulty, total FROM chosen2 c WHERE c.path IN (
+                    SELECT first_path FROM fresh2 WHERE uuid NOT IN (SELECT uuid FROM stored)
+                      AND first_path = (SELECT min(first_path) FROM fresh2 f WHERE f.uuid = fresh2.uuid))) GROUP BY 1""",
+            f"""chosen2 AS (
+                  SELECT c.*, d.difficulty, t.total FROM checked c JOIN ({_CLEAN_SQL}) d USING (path)
+                  JOIN (SELECT path, coalesce(nullif(p, 0) + nullif(c, 0), nullif(p, 0), nullif(c, 0)) AS total
+                        FROM (SELECT path, {_minutes('prep_text')} AS p, {_minutes('cook_text')} AS c FROM staged)) t USING (path)
+                  WHERE c.uuid IN (SELECT uuid FROM named WHERE path LIKE '%3' OR path LIKE '%17')),
+                firsts2 AS (SELECT short_title, arg_min(uuid, path) AS uuid, min(path) AS first_path FROM chosen2 WHERE problem IS NULL GROUP BY 1),
+                fresh2 AS (SELECT * FROM firsts2 WHERE short_title NOT IN (SELECT title FROM stored)),
+                updated AS (SELECT short_title, arg_max(difficulty, path) AS difficulty, arg_max(total, path) AS total FROM (
+                  SELECT * FROM chosen2 WHERE problem IS NULL AND path IN (SELECT max(path) FROM chosen2 WHERE problem IS NULL GROUP BY short_title)) GROUP BY 1)""",
+        ),
+    ),
     "L25_load_report": (
         l25,
         _sql(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # all are runtime SQL settings; partition counts are left to the cluster and to AQE
 _RUNTIME = {
@@ -60,9 +60,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df):
-    """Cut the lineage of `df` by writing it to the shared folder."""
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of `df` by writing it to the shared folder and reading it back.
+
+    The written table survives lost executors and keeps column pruning for what follows.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(shared_folder(spark), "checkpoints"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
