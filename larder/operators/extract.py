@@ -321,7 +321,7 @@ def post_text(df: DataFrame) -> Column:
     return F.coalesce(*columns, F.lit(None).cast("string"))
 
 
-def _metadata(df: DataFrame, title: str, text: str) -> DataFrame:
+def add_attributes(df: DataFrame, title: str, text: str) -> DataFrame:
     """Difficulty, cuisine, meal type and tags from a title and a text column."""
     df = once(
         df,
@@ -358,7 +358,7 @@ def extract_posts(df: DataFrame, keys: list[str]) -> DataFrame:
         ingredients=ingredients_of(F.col("_section"), lines),
         instructions=instructions_of(text, lines),
     )
-    described = _metadata(parts, "_found_title", "_text")
+    described = add_attributes(parts, "_found_title", "_text")
     paragraph = F.get(F.split("_raw", "\n\n"), F.lit(0))
     opening = F.when(
         (F.length(paragraph) < 500) & ~F.lower(paragraph).contains("ingredient"), none_if_blank(strip(paragraph))
@@ -414,7 +414,7 @@ def extract_structured(df: DataFrame, keys: list[str]) -> DataFrame:
     # tags are told from title and ingredient names, as there is no text
     named = parts.withColumn("_names", F.array_join(F.transform("ingredients", lambda i: i["item"]), " "))
     named = named.withColumn("_empty", F.lit(""))
-    described = _metadata(named, "_name", "_empty")
+    described = add_attributes(named, "_name", "_empty")
     words = F.lower("_names")
     has_title = F.col("_name") != ""
     none = F.lit(None).cast("string")

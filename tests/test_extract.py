@@ -149,7 +149,7 @@ def test_report(spark):
 def test_structured(spark):
     df = spark.createDataFrame(
         [(1, "Easy Chicken Pasta", "['1 cup flour', \"2 eggs\", '', 7, 'salt']", '["Mix.", "", "Bake it."]'),
-         (2, "", "not a list", "[]"), (3, "Soup", "['it\\\\'s water']", "['Boil.']")],
+         (2, "", "not a list", "[]"), (3, "Soup", "['it\\'s water']", "['Boil.']")],
         "k int, title string, ingredients string, directions string",
     )
     rows = {r["k"]: r for r in extract_recipes(df, ["k"]).collect()}
