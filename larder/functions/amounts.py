@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from larder import lexicon
-from larder.functions.text import contains_any, squeeze, strip
+from larder.functions.text import contains_any, let, squeeze, strip
 
 # whole number (not the numerator of a fraction), fraction, end of a range, unit; all optional
 _AMOUNT = (
@@ -19,11 +19,6 @@ _AMOUNT = (
 _MARK = "\x01"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once and use it several times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 _columns: dict[tuple, Column] = {}
 
 

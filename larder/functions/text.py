@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,18 +33,27 @@ def non_blank_lines(c: Column, separator: str = "\n") -> Column:
     return F.filter(F.transform(F.split(c, separator), strip), lambda line: line != "")
 
 
-def contains_any(c: Column, words: list[str]) -> Column:
-    """True when any word is a substring; plain byte searches that stop at the first hit."""
-    return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times in `body`."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def starts_with_any(c: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [c.startswith(w) for w in words])
+def word_list(words: list[str]) -> Column:
+    """Constant array of words, folded once when the query is planned."""
+    return F.split(F.lit("\x01".join(words)), "\x01")
 
 
-def count_hits(c: Column, words: list[str]) -> Column:
-    """How many of the words occur in the text."""
-    return reduce(lambda a, b: a + b, [c.contains(w).cast("int") for w in words])
+def contains_any(c: Column, words: list[str]) -> Column:
+    """True when any word is a substring; stops at the first hit.
+
+    One lambda over a constant array instead of one comparison per word in the plan: long word lists
+    would otherwise make generated methods too large for the JIT compiler.
+    """
+    return let(c, lambda text: F.exists(word_list(words), lambda w: text.contains(w)))
+
+
+def starts_with_any(c: Column, words: list[str]) -> Column:
+    return let(c, lambda text: F.exists(word_list(words), lambda w: text.startswith(w)))
 
 
 def first_match(c: Column, patterns: list[str], group: int = 1) -> Column:

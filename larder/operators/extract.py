@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import lexicon as lx
-from larder.functions.amounts import let
 from larder.functions.staging import once
 from larder.functions.text import (
     contains_any,
+    let,
     none_if_blank,
     non_blank_lines,
     pick_first,
@@ -323,19 +323,20 @@ def post_text(df: DataFrame) -> Column:
 
 def add_attributes(df: DataFrame, title: str, text: str) -> DataFrame:
     """Difficulty, cuisine, meal type and tags from a title and a text column."""
+    lower = F.lower(text)
     df = once(
         df,
-        _lower=F.lower(text),
-        _title=F.lower(title),
-        _both=F.concat_ws(" ", F.lower(title), F.lower(text)),
+        _both=metadata.hits(F.concat_ws(" ", F.lower(title), lower), metadata.BOTH_WORDS),
+        _in_title=metadata.hits(F.lower(title), metadata.TITLE_WORDS),
+        _in_text=metadata.hits(lower, metadata.TEXT_WORDS),
     )
-    both, name, lower = F.col("_both"), F.col("_title"), F.col("_lower")
+    both, in_title, in_text = F.col("_both"), F.col("_in_title"), F.col("_in_text")
     return df.withColumns(
         {
-            "difficulty": metadata.difficulty(both, F.col(text), lower),
-            "cuisine": metadata.cuisine(both, name),
-            "mealType": metadata.meal_type(both, name, lower),
-            "dietaryTags": metadata.dietary_tags(both, lower),
+            "difficulty": metadata.difficulty(both, in_text, F.col(text)),
+            "cuisine": metadata.cuisine(both, in_title),
+            "mealType": metadata.meal_type(both, in_title, in_text),
+            "dietaryTags": metadata.dietary_tags(both, in_text),
         }
     )
 
@@ -415,7 +416,12 @@ def extract_structured(df: DataFrame, keys: list[str]) -> DataFrame:
     named = parts.withColumn("_names", F.array_join(F.transform("ingredients", lambda i: i["item"]), " "))
     named = named.withColumn("_empty", F.lit(""))
     described = add_attributes(named, "_name", "_empty")
-    words = F.lower("_names")
+    words = F.concat_ws(" ", F.lower("_name"), F.lower("_names"))
+    described = once(
+        described,
+        _tag_both=metadata.hits(words, metadata.BOTH_WORDS),
+        _tag_text=metadata.hits(words, metadata.TEXT_WORDS),
+    ).withColumn("dietaryTags", metadata.dietary_tags(F.col("_tag_both"), F.col("_tag_text")))
     has_title = F.col("_name") != ""
     none = F.lit(None).cast("string")
     return described.select(
@@ -426,10 +432,7 @@ def extract_structured(df: DataFrame, keys: list[str]) -> DataFrame:
         "ingredients",
         "instructions",
         *[none.alias(c) for c in ("prepTime", "cookTime", "chillTime", "panSize")],
-        *[F.when(has_title, F.col(c)).alias(c) for c in ("difficulty", "cuisine", "mealType")],
-        F.when(has_title, metadata.dietary_tags(F.concat_ws(" ", F.lower("_name"), words), F.concat_ws(" ", F.lower("_name"), words))).alias(
-            "dietaryTags"
-        ),
+        *[F.when(has_title, F.col(c)).alias(c) for c in ("difficulty", "cuisine", "mealType", "dietaryTags")],
     )
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from larder import lexicon as lx
-from larder.functions.amounts import let
-from larder.functions.text import contains_any, first_word, none_if_blank, strip, word_count
+from larder.functions.text import contains_any, first_word, let, none_if_blank, strip, word_count
 
 
 

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import lexicon, schemas
-from larder.functions.amounts import clean_name, let, minutes, parse_amount, total_minutes
+from larder.functions.amounts import clean_name, minutes, parse_amount, total_minutes
 from larder.functions.identity import dense_ids, recipe_uuid
-from larder.functions.text import contains_any, strip, word_count
+from larder.functions.text import contains_any, let, strip, word_count
 from larder.functions.staging import once
 from larder.operators.skew import hot_key_join
 

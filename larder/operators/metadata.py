@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from larder import lexicon as lx
-from larder.functions.text import contains_any, count_hits, first_match, strip
+from larder.functions.text import first_match, let, strip, word_list
 
 
 def times(text: Column) -> dict[str, Column]:
@@ -21,54 +21,87 @@ def times(text: Column) -> dict[str, Column]:
     }
 
 
-def difficulty(both: Column, text: Column, lower: Column) -> Column:
+# words looked for in title and text together, in the title alone, in the text alone
+BOTH_WORDS = list(
+    dict.fromkeys(
+        w
+        for group in (lx.DIFFICULTY_WORDS, lx.CUISINE_WORDS, lx.MEAL_WORDS, lx.TAG_WORDS)
+        for words in group.values()
+        for w in words
+    )
+) + ["meat"]
+TITLE_WORDS = list(
+    dict.fromkeys(
+        [name.lower() for name in lx.CUISINE_WORDS]
+        + [w for words in lx.CUISINE_WORDS.values() for w in words]
+        + lx.MEAL_WORDS["dinner"]
+        + lx.MEAL_WORDS["dessert"]
+    )
+)
+TEXT_WORDS = list(
+    dict.fromkeys(lx.ADVANCED_TECHNIQUES + lx.SWEET_WORDS + lx.MEAT_WORDS + lx.DAIRY_WORDS + lx.EGG_WORDS)
+)
+
+
+def hits(text: Column, words: list[str]) -> Column:
+    """The words that occur: searched once, so that all rules below work on a handful of hits."""
+    return let(text, lambda t: F.filter(word_list(words), lambda w: t.contains(w)))
+
+
+def _any(found: Column, words: list[str]) -> Column:
+    return F.arrays_overlap(found, word_list(words))
+
+
+def _count(found: Column, words: list[str]) -> Column:
+    return F.size(F.array_intersect(found, word_list(words)))
+
+
+def difficulty(both: Column, in_text: Column, text: Column) -> Column:
     """Named level, else told from techniques and from the number of bullets and steps."""
     bullets = F.regexp_count(text, F.lit(lx.BULLET_COUNT_PATTERN))
     steps = F.regexp_count(text, F.lit(lx.STEP_COUNT_PATTERN))
-    named = F.lit(None).cast("string")
-    for level, words in reversed(lx.DIFFICULTY_WORDS.items()):
-        named = F.when(contains_any(both, words), level).otherwise(named)
-    return F.coalesce(
-        named,
-        F.when(contains_any(lower, lx.ADVANCED_TECHNIQUES) | (bullets > 15) | (steps > 10), "hard")
-        .when((bullets > 8) | (steps > 5), "medium")
-        .when((bullets > 0) | (steps > 0), "easy"),
+    told = let(
+        F.struct(bullets.alias("b"), steps.alias("s")),
+        lambda n: F.when(_any(in_text, lx.ADVANCED_TECHNIQUES) | (n["b"] > 15) | (n["s"] > 10), "hard")
+        .when((n["b"] > 8) | (n["s"] > 5), "medium")
+        .when((n["b"] > 0) | (n["s"] > 0), "easy"),
     )
+    return F.coalesce(*[F.when(_any(both, words), level) for level, words in lx.DIFFICULTY_WORDS.items()], told)
 
 
-def cuisine(both: Column, title: Column) -> Column:
+def cuisine(both: Column, in_title: Column) -> Column:
     """A cuisine named in the title; else the first with two keywords, or one that is in the title."""
-    named = [F.when(title.contains(name.lower()), name) for name in lx.CUISINE_WORDS]
+    named = [F.when(F.array_contains(in_title, name.lower()), name) for name in lx.CUISINE_WORDS]
     told = [
-        F.when(contains_any(title, words) | (count_hits(both, words) >= 2), name)
-        for name, words in lx.CUISINE_WORDS.items()
+        F.when(_any(in_title, words) | (_count(both, words) >= 2), name) for name, words in lx.CUISINE_WORDS.items()
     ]
     return F.coalesce(*named, *told)
 
 
-def meal_type(both: Column, title: Column, lower: Column) -> Column:
+def meal_type(both: Column, in_title: Column, in_text: Column) -> Column:
+    """Dinner against dessert by title, then by number of keywords; else the first meal with a keyword."""
     dinner, dessert = lx.MEAL_WORDS["dinner"], lx.MEAL_WORDS["dessert"]
-    dinner_title, dessert_title = contains_any(title, dinner), contains_any(title, dessert)
+    dinner_title, dessert_title = _any(in_title, dinner), _any(in_title, dessert)
     conflict = F.when(
-        contains_any(both, dinner) & contains_any(both, dessert),
+        _any(both, dinner) & _any(both, dessert),
         F.when(dinner_title & ~dessert_title, "dinner")
         .when(dessert_title & ~dinner_title, "dessert")
-        .when(count_hits(both, dinner) >= count_hits(both, dessert), "dinner"),
+        .when(_count(both, dinner) >= _count(both, dessert), "dinner"),
     )
-    told = [F.when(contains_any(both, words), meal) for meal, words in lx.MEAL_WORDS.items()]
-    sweet = F.when(contains_any(lower, lx.SWEET_WORDS) & ~contains_any(both, lx.SAVOURY_WORDS), "dessert")
+    told = [F.when(_any(both, words), meal) for meal, words in lx.MEAL_WORDS.items()]
+    sweet = F.when(_any(in_text, lx.SWEET_WORDS) & ~_any(both, lx.SAVOURY_WORDS), "dessert")
     return F.coalesce(conflict, *told, sweet)
 
 
-def dietary_tags(both: Column, lower: Column) -> Column:
+def dietary_tags(both: Column, in_text: Column) -> Column:
     """Tags that are named; without any, vegetarian and vegan are told from the absence of animal products."""
     named = F.filter(
-        F.array(*[F.when(contains_any(both, words), tag) for tag, words in lx.TAG_WORDS.items()]),
+        F.array(*[F.when(_any(both, words), tag) for tag, words in lx.TAG_WORDS.items()]),
         lambda t: t.isNotNull(),
     )
-    meat = contains_any(lower, lx.MEAT_WORDS)
-    animal = contains_any(lower, lx.DAIRY_WORDS + lx.EGG_WORDS)
+    meat = _any(in_text, lx.MEAT_WORDS)
+    animal = _any(in_text, lx.DAIRY_WORDS + lx.EGG_WORDS)
     told = F.when(~meat & ~animal, F.array(F.lit("vegan"), F.lit("vegetarian"))).when(
         ~meat, F.array(F.lit("vegetarian"))
     )
-    return F.when(F.size(named) > 0, named).otherwise(told)
+    return let(named, lambda x: F.when(F.size(x) > 0, x).otherwise(told))
