@@ -233,14 +233,13 @@ def load_status(candidates: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 # --- dictionaries and rows ----------------------------------------------------------------------------
-def get_or_create(stored: DataFrame, wanted: DataFrame, now: Column, extra: dict[str, Column]) -> DataFrame:
-    """Stored dictionary plus a row for every wanted name that is not blank and not stored yet."""
+def new_names(stored: DataFrame, wanted: DataFrame, now: Column, extra: dict[str, Column]) -> DataFrame:
+    """A dictionary row for every wanted name that is not blank and not stored yet."""
     missing = wanted.where(strip(F.col("name")) != "").dropDuplicates(["name"]).join(stored, "name", "left_anti")
     top = stored.select(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    rows = dense_ids(missing, "name", top).select(
+    return dense_ids(missing, "name", top).select(
         "id", "name", *[c.alias(n) for n, c in extra.items()], now.alias("created_at"), now.alias("updated_at")
     )
-    return stored.unionByName(rows)
 
 
 def kept_lines(rows: DataFrame) -> DataFrame:
@@ -259,11 +258,11 @@ def kept_lines(rows: DataFrame) -> DataFrame:
 def link_lines(
     kept: DataFrame, ingredients: DataFrame, measurements: DataFrame, now: Column
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Both dictionaries with what the lines need, and the lines as bridge rows with their ids."""
+    """The rows missing in both dictionaries, and the lines as bridge rows with their ids."""
     none = F.lit(None).cast("string")
-    ingredients = get_or_create(ingredients, kept.select("name"), now, {"category": none, "description": none})
+    new_ingredients = new_names(ingredients, kept.select("name"), now, {"category": none, "description": none})
     abbreviations = F.create_map(*[F.lit(x) for u in lexicon.UNITS for x in (u[0], u[1])])
-    measurements = get_or_create(
+    new_measurements = new_names(
         measurements,
         kept.where(F.col("unit").isNotNull()).select(F.col("unit").alias("name"), "unit_type"),
         now,
@@ -271,15 +270,15 @@ def link_lines(
     )
     # parsed units are canonical names, so at most len(UNITS) dictionary rows can match
     unit_ids = F.broadcast(
-        measurements.where(F.col("name").isin([u[0] for u in lexicon.UNITS])).select(
+        measurements.unionByName(new_measurements).where(F.col("name").isin([u[0] for u in lexicon.UNITS])).select(
             F.col("name").alias("unit"), F.col("id").alias("measurement_id")
         )
     )
-    ids = ingredients.select("name", F.col("id").alias("ingredient_id"))
+    ids = ingredients.unionByName(new_ingredients).select("name", F.col("id").alias("ingredient_id"))
     rows = hot_key_join(kept, ids, "name", "inner").join(unit_ids, "unit", "left").select(
         "recipe_id", "ingredient_id", "measurement_id", "amount", "notes", "order_index", now.alias("created_at")
     )
-    return ingredients, measurements, rows
+    return new_ingredients, new_measurements, rows
 
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -325,12 +324,12 @@ class Load:
         return self.candidates.join(accepted, "path")  # both sides unique on path
 
     @cached_property
-    def recipes(self) -> DataFrame:
-        stored = self.tables["recipes"]
+    def new_recipes(self) -> DataFrame:
         made = {c: F.col(c) for c in ["id", *self.candidates.columns]}
         made |= {"created_at": self.now, "updated_at": self.now}
-        new = [made.get(c, F.lit(None)).cast(t).alias(c) for c, t in stored.dtypes]
-        return stored.unionByName(self.new_rows.select(*new))
+        return self.new_rows.select(
+            *[made.get(c, F.lit(None)).cast(t).alias(c) for c, t in self.tables["recipes"].dtypes]
+        )
 
     @cached_property
     def _linked(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -338,13 +337,27 @@ class Load:
             kept_lines(self.new_rows), self.tables["ingredients"], self.tables["measurements"], self.now
         )
 
+    def new_tables(self) -> dict[str, DataFrame]:
+        """Only the rows that the load adds, to be appended."""
+        ingredients, measurements, bridge = self._linked
+        return {
+            "recipes": self.new_recipes,
+            "ingredients": ingredients,
+            "measurements": measurements,
+            "recipe_ingredients": bridge,
+        }
+
+    @property
+    def recipes(self) -> DataFrame:
+        return self.tables["recipes"].unionByName(self.new_recipes)
+
     @property
     def ingredients(self) -> DataFrame:
-        return self._linked[0]
+        return self.tables["ingredients"].unionByName(self._linked[0])
 
     @property
     def measurements(self) -> DataFrame:
-        return self._linked[1]
+        return self.tables["measurements"].unionByName(self._linked[1])
 
     @property
     def recipe_ingredients(self) -> DataFrame:
@@ -482,7 +495,7 @@ class Reload(Load):
         known = last.join(self.tables["recipes"].select("id", "title"), "title").select("id", "path")
         return valid.join(known, "path")  # both sides unique on path
 
-    @cached_property
+    @property
     def recipes(self) -> DataFrame:
         fields = ["id", *[c for c in self.tables["recipes"].columns if c in self.candidates.columns and c != "uuid"]]
         return update_recipes(super().recipes, self._updates.select(*fields), self.now)
