@@ -6,22 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder import lexicon
-from larder.functions.text import strip
+from larder.functions.text import let, strip
 
 
 def uuid5(name: Column) -> Column:
     """RFC 4122 name-based UUID (SHA-1) in the recipe namespace."""
-    digest = F.sha1(F.concat(F.unhex(F.lit(lexicon.RECIPE_NAMESPACE)), F.encode(name, "UTF-8")))
-    # the variant bits replace the two top bits of the 17th digit
-    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
-        F.substring(digest, 21, 12),
-    )
+
+    def assemble(digest: Column) -> Column:
+        # the variant bits replace the two top bits of the 17th digit
+        variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+        return F.concat_ws(
+            "-",
+            F.substring(digest, 1, 8),
+            F.substring(digest, 9, 4),
+            F.concat(F.lit("5"), F.substring(digest, 14, 3)),
+            F.concat(variant, F.substring(digest, 18, 3)),
+            F.substring(digest, 21, 12),
+        )
+
+    return let(F.sha1(F.concat(F.unhex(F.lit(lexicon.RECIPE_NAMESPACE)), F.encode(name, "UTF-8"))), assemble)
 
 
 def recipe_uuid(title: Column, source: Column | None = None) -> Column:

@@ -20,10 +20,12 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores over all cores, before CPU-heavy narrow work.
+def spread(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Spread rows over all cores before CPU-heavy narrow work, when the scan they come from has fewer
+    splits than there are cores.
 
     Large inputs already come in many splits and are returned as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = (df if scan is None else scan).rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores else df

@@ -57,8 +57,8 @@ def recipes(spark: SparkSession, sf_dir: str, cpu_heavy: bool = False) -> DataFr
         (k % 97).cast("string"),
     )
     orders = table(spark, sf_dir, "orders")
-    return (
-        (spread(orders) if cpu_heavy else orders)
+    made = (
+        orders
         .join(authors, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             k.alias("id"),
@@ -100,6 +100,7 @@ def recipes(spark: SparkSession, sf_dir: str, cpu_heavy: bool = False) -> DataFr
             F.col("o_orderdate").alias("updated_at"),
         )
     )
+    return spread(made, orders) if cpu_heavy else made
 
 
 def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:

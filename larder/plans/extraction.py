@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder import lexicon as lx
+from larder.functions.staging import spread
 from larder.operators import extract
-from larder.plans.corpus import bridge, oracle, recipes
+from larder.plans.corpus import bridge, oracle, recipes, table
 
 PHRASES = [
     "An easy dish", "Simple Thai curry paste meal", "Advanced pasta risotto", "Vegan gluten-free snack", "Korean bbq",
@@ -45,7 +46,7 @@ def _rendered_lines(spark, sf_dir):
 
 def posts(spark, sf_dir):
     """One post per order that has lines."""
-    r = recipes(spark, sf_dir, cpu_heavy=True).select("id", "title", "prep_time_minutes", "cook_time_minutes")
+    r = recipes(spark, sf_dir).select("id", "title", "prep_time_minutes", "cook_time_minutes")
     k = F.col("id")
     text = F.concat(
         F.lit("Hello\n\nPrep time: "), F.col("prep_time_minutes").cast("string"), F.lit(" minutes\n"),
@@ -54,9 +55,10 @@ def posts(spark, sf_dir):
         F.lit("\n\n**Instructions:**\n1. Combine all of the parts number "), k.cast("string"),
         F.lit("\n2. Let it rest for one hour\n3. Short\n"),
     )
-    return r.join(_rendered_lines(spark, sf_dir), k == F.col("recipe_id")).select(
+    made = r.join(_rendered_lines(spark, sf_dir), k == F.col("recipe_id")).select(
         F.col("id").alias("post_id"), F.when(k % 4 != 0, F.col("title")).alias("title"), text.alias("comment")
     )
+    return spread(made, table(spark, sf_dir, "orders"))
 
 
 def _extracted(spark, sf_dir):
