@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from larder import lexicon
-from larder.functions.text import word_list
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -20,8 +19,7 @@ def tokens(text: Column, stop_words: bool = True) -> Column:
     all_words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
     if not stop_words:
         return all_words
-    stops = word_list(lexicon.STOP_WORDS)
-    return F.filter(all_words, lambda w: ~F.array_contains(stops, w))
+    return F.filter(all_words, lambda w: ~w.isin(lexicon.STOP_WORDS))
 
 
 # --- stemming: the algorithm of M. F. Porter, "An algorithm for suffix stripping", 1980 ------------------

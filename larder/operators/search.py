@@ -51,26 +51,38 @@ def bm25(tf: Column, length: Column, average: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
 
 
+def _some(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
 def _counted(docs: DataFrame, fields: list[str], terms: list[str], match, stem: bool) -> DataFrame:
-    """Per document and field a small struct: number of words, and frequency of every query term."""
-
-    def frequencies(words: Column) -> Column:
-        if stem:
-            # only words that begin like a query stem can have it, the others never leave the JVM
-            starts = [porter_stem(t)[:-1] for t in terms]
-            near = F.filter(words, lambda w: reduce(lambda a, b: a | b, [w.startswith(s) for s in starts]))
-            stems = stem_words(near)
-            counts = [F.size(F.filter(stems, exact(porter_stem(t)))) for t in terms]
-        else:
-            counts = [F.size(F.filter(words, match(t))) for t in terms]
-        return F.struct(
-            F.size(words).cast("double").alias("length"),
-            *[c.cast("double").alias(f"tf{i}") for i, c in enumerate(counts)],
-        )
+    """Per document and field a small struct: number of words, and frequency of every query term.
+
+    One pass over the words keeps the few that can count; the terms are told apart on those.
+    """
+    if stem:
+        # words that do not begin like a query stem cannot have it: they never leave the JVM
+        starts = [porter_stem(t)[:-1] for t in terms]
+        near = lambda words: stem_words(F.filter(words, lambda w: _some([w.startswith(s) for s in starts])))
+        tests = [exact(porter_stem(t)) for t in terms]
+    else:
+        tests = [match(t) for t in terms]
+        near = lambda words: F.filter(words, lambda w: _some([test(w) for test in tests]))
 
     split = once(docs, **{f"_w_{f}": tokens(F.col(f)) for f in fields})
-    counted = once(split, **{f"_f_{f}": frequencies(F.col(f"_w_{f}")) for f in fields})
-    return counted.drop(*[f"_w_{f}" for f in fields])
+    close = once(
+        split,
+        **{f"_l_{f}": F.size(f"_w_{f}").cast("double") for f in fields},
+        **{f"_n_{f}": near(F.col(f"_w_{f}")) for f in fields},
+    )
+    counts = {
+        f"_f_{f}": F.struct(
+            F.col(f"_l_{f}").alias("length"),
+            *[F.size(F.filter(f"_n_{f}", test)).cast("double").alias(f"tf{i}") for i, test in enumerate(tests)],
+        )
+        for f in fields
+    }
+    return once(close, **counts).drop(*[f"{x}{f}" for x in ("_w_", "_l_", "_n_") for f in fields])
 
 
 def _statistics(counted: DataFrame, fields: list[str], n_terms: int) -> Column:

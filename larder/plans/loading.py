@@ -194,9 +194,8 @@ def _delete(spark, sf_dir):
 
 def l22(spark, sf_dir):
     left, bridge, _ = _delete(spark, sf_dir)
-    return left.select(F.count("*").alias("recipes")).crossJoin(  # one row each
-        bridge.agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
-    )
+    n_left = left.select(F.count("*").alias("n")).scalar()
+    return bridge.agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity")).withColumn("recipes", n_left)
 
 
 def l22_hits(spark, sf_dir):
