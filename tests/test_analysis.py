@@ -26,3 +26,15 @@ def test_analyzer(spark):
     rows = df.select(analyze(F.col("t")).alias("s"), analyze(F.col("t"), stem=False).alias("p")).collect()
     assert rows[0]["s"] == ["cook", "cooki", "2", "pi"] and rows[0]["p"] == ["cooked", "cookies", "2", "pies"]
     assert rows[1]["s"] == []
+
+
+def test_stemmed_search(spark):
+    from larder.operators.search import highlight, search_all
+
+    rows = [(1, "cooking rice"), (2, "cooked beans slowly"), (3, "cookies"), (4, None)]
+    docs = spark.createDataFrame(rows, "id int, title string")
+    hits = {r["id"] for r in search_all(docs, "the cooks", {"title": 1.0}, stem=True).collect()}
+    assert hits == {1, 2}
+    assert {r["id"] for r in search_all(docs, "cooked", {"title": 1.0}).collect()} == {2}
+    marked = docs.where("id = 1").select(highlight(F.col("title"), "RICE coo")).first()[0]
+    assert marked == "cooking <em>rice</em>"
