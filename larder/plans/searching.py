@@ -151,7 +151,9 @@ def _scores(query: str, boosts: dict[str, float], test=None, tie: float = 0.0, w
 
 def _fuzzy(prefix: int):
     def test(t: str) -> str:
-        near = f"abs(length(w) - {len(t)}) <= {allowed_edits(t)} AND levenshtein(w, '{t}') <= {allowed_edits(t)}"
+        # DuckDB counts edits in bytes: stand in one byte for every character the (ASCII) query cannot hold
+        plain = "regexp_replace(w, '[^ -~]', '#', 'g')"
+        near = f"abs(length(w) - {len(t)}) <= {allowed_edits(t)} AND levenshtein({plain}, '{t}') <= {allowed_edits(t)}"
         return near + (f" AND starts_with(w, '{t[:prefix]}')" if prefix else "")
 
     return test
