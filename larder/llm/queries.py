@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import pii, secrets
+from larder.llm import decontaminate, packing, pii, rules, secrets, token_files
 from larder.session import tune
 
 
@@ -18,6 +18,10 @@ QUERIES = {
     f.__name__: _tuned(f)
     for f in (
         secrets.op1_secrets,
+        decontaminate.op2_decontamination,
+        packing.op3_packing,
+        token_files.op4_token_files,
+        rules.op5_quality_rules,
         pii.op10_pii,
     )
 }
