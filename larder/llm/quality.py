@@ -129,7 +129,8 @@ def fit(labelled: DataFrame, shrink: float = SHRINK, ridge: float = RIDGE) -> Di
     pooled = sum(scatter.values()) / total if total else np.eye(d)
     factors = {}
     for k, n in counts.items():
-        cov = (1 - shrink) * scatter[k] / n + shrink * pooled
+        own = max(shrink, (d + 1) / (n + d + 1))  # few rows say little about a covariance
+        cov = (1 - own) * scatter[k] / n + own * pooled
         # the floor keeps statistics that a class never varies in from ruling alone
         cov = (1 - ridge) * cov + ridge * np.diag(np.diag(pooled)) + 1e-4 * np.eye(d)
         factors[k] = np.linalg.cholesky(cov)
