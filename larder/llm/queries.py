@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, jaccard, packing, pii, quality, rules, secrets, token_files, warc
+from larder.llm import decontaminate, jaccard, packing, pii, quality, repeats, rules, secrets, token_files, warc
 from larder.session import tune
 
 
@@ -23,6 +23,7 @@ QUERIES = {
         token_files.op4_token_files,
         rules.op5_quality_rules,
         jaccard.op6_ngram_jaccard,
+        repeats.op7_repeated_passages,
         warc.op8_warc,
         quality.op9_quality_classifier,
         pii.op10_pii,
