@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from larder.llm import decontaminate, jaccard, packing, pii, quality, repeats, rules, secrets, token_files, warc
 from larder.session import tune
 
@@ -28,5 +29,5 @@ QUERIES = {
         quality.op9_quality_classifier,
         pii.op10_pii,
     )
-}
-ORACLES: dict[str, str] = {}
+} | {"pipeline": _tuned(corpus_pipeline.run)}
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
