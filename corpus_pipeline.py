@@ -15,6 +15,11 @@ from larder.llm import decontaminate, jaccard, packing, pii, quality
 from larder.llm.common import cut, table, with_row
 
 
+def _boxed(docs: DataFrame) -> DataFrame:
+    """The text beside the whole row, so that no column of a table clashes with one of an operator."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"), "text")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; it learns from the labels of those it is given."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -22,17 +27,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id; texts without words are all kept."""
-    rows = cut(with_row(docs, "_row"), "numbered")
+    rows = cut(with_row(_boxed(docs).withColumn("doc_id", F.col("_in.doc_id"))), "numbered")
     groups = jaccard.joined(rows, "_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
     ids = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_rank"))
     first = groups.join(ids, "_row").groupBy("_group").agg(F.min("_rank").alias("_rank"))
     keep = cut(first.select(F.col("_rank._row").alias("_row")), "kept")
-    return rows.join(keep, "_row", "left_semi").select(*docs.columns)
+    return rows.join(keep, "_row", "left_semi").select("_in.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    return decontaminate.hits(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*docs.columns)
+    return decontaminate.hits(_boxed(docs), table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("_in.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,8 +134,8 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     Columns stay as they are; `length`, where the table has it, is set anew for changed texts.  Null text
     stays null.
     """
-    df = findings(docs, text)
-    t = F.col(f"`{text}`")
+    df = findings(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text")), "_text")
+    t = F.col("_text")
     ordered = F.array_sort(
         F.transform(F.col("pii"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
@@ -176,8 +176,8 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     df = once(df, _clean=F.when(has, F.concat(F.array_join(before, ""), tail)).otherwise(t))
     made = {text: F.col("_clean")}
     if length and length in docs.columns:
-        made[length] = F.when(has, F.length("_clean").cast(docs.schema[length].dataType)).otherwise(F.col(f"`{length}`"))
-    return df.select(*[made.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        made[length] = F.when(has, F.length("_clean").cast(docs.schema[length].dataType)).otherwise(F.col("_row")[length])
+    return df.select(*[made.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
