@@ -83,7 +83,7 @@ def unescape(c: Column) -> Column:
     names = constant(_entity_map)
 
     def character(entity: Column) -> Column:
-        inner = F.substring_index(F.substring(entity, 2, 12), ";", 1)
+        inner = F.substring_index(F.substr(entity, F.lit(2), F.length(entity)), ";", 1)
         digits = F.regexp_extract(inner, r"^#(\d{1,7})$", 1)
         hexes = F.regexp_extract(inner, r"^#[xX]([0-9a-fA-F]{1,6})$", 1)
         code = F.when(digits != "", F.hex(digits.try_cast("bigint"))).when(hexes != "", hexes)
@@ -107,15 +107,15 @@ def clean_name(item: Column) -> Column:
         bare = F.regexp_replace(name, r"\([^)]*\)$", "")
         return squeeze(F.regexp_replace(bare, lexicon.LEADING_QUANTITY_PATTERN, ""))
 
-    def shorten(name: Column) -> Column:
-        return F.when(name == "", F.lit("Unknown")).otherwise(F.substring(name, 1, 200))
+    def named(name: Column) -> Column:
+        return F.when(name == "", F.lit("Unknown")).otherwise(name)
 
     return let(
         squeeze(unescape(F.coalesce(item, F.lit("")))),
         lambda name: F.when(
             name.rlike(r"^\d"),
-            let(without_quantity(name), lambda bare: shorten(F.when(F.length(bare) > 2, bare).otherwise(name))),
-        ).otherwise(shorten(name)),
+            let(without_quantity(name), lambda bare: named(F.when(F.length(bare) > 2, bare).otherwise(name))),
+        ).otherwise(named(name)),
     )
 
 

@@ -63,7 +63,7 @@ def extract_title(text: Column, lines: Column) -> Column:
         F.when(text.rlike(p), let(strip(F.regexp_extract(text, p, 1)), lambda t: F.when(_is_prose(t), t)))
         for p in lx.TITLE_PATTERNS
     ]
-    early = F.filter(F.slice(lines, 1, 5), lambda x: F.length(x).between(11, 149) & _is_prose(x))
+    early = F.filter(lines, lambda x: (F.length(x) > 10) & _is_prose(x))
     return F.coalesce(*tries, pick_first(early), F.lit(lx.UNTITLED))
 
 
@@ -74,8 +74,8 @@ def extract_description(text: Column, lines: Column) -> Column:
     ]
     shouted = lambda x: (x == F.upper(x)) & (x != F.lower(x))
     early = F.filter(
-        F.slice(lines, 2, 5),
-        lambda x: F.length(x).between(31, 299) & _is_prose(x) & ~shouted(x) & ~x.startswith("**"),
+        F.slice(lines, 2, F.size(lines)),
+        lambda x: (F.length(x) > 30) & _is_prose(x) & ~shouted(x) & ~x.startswith("**"),
     )
     return F.coalesce(*tries, pick_first(early))
 
@@ -104,7 +104,7 @@ def _skip_item(item: Column, lower: Column) -> Column:
 
 
 def section_ingredients(section: Column) -> Column:
-    """Main path: section items without bullets and numbering, filtered and parsed, at most 30."""
+    """Main path: section items without bullets and numbering, filtered and parsed."""
 
     def parse(raw: Column) -> Column:
         # a dash or number in front is layout, so short names behind it still count
@@ -121,8 +121,7 @@ def section_ingredients(section: Column) -> Column:
             ),
         )
 
-    parsed = F.filter(F.transform(section_items(section), parse), lambda i: i.isNotNull())
-    return F.slice(parsed, 1, 30)
+    return F.filter(F.transform(section_items(section), parse), lambda i: i.isNotNull())
 
 
 def _clean_for_marker(line: Column) -> Column:
@@ -176,7 +175,7 @@ def marked_ingredients(lines: Column) -> Column:
 
 
 def lenient_ingredients(lines: Column) -> Column:
-    """Fallback 2: any short line with a digit or a unit, at most 20."""
+    """Fallback 2: any line with a digit or a unit."""
 
     def parse(line: Column) -> Column:
         plain = F.replace(line, F.lit("**"), F.lit(""))
@@ -186,13 +185,12 @@ def lenient_ingredients(lines: Column) -> Column:
             lambda x: F.when(
                 (F.length(line) >= 3)
                 & ~starts_with_any(F.lower(x), lx.LENIENT_SKIP_STARTS)
-                & x.rlike(lx.LENIENT_MEASURE_PATTERN)
-                & (F.length(x) < 120),
+                & x.rlike(lx.LENIENT_MEASURE_PATTERN),
                 simple_parse(x),
             ),
         )
 
-    return F.slice(F.filter(F.transform(lines, parse), lambda i: i.isNotNull()), 1, 20)
+    return F.filter(F.transform(lines, parse), lambda i: i.isNotNull())
 
 
 def ingredients_of(section: Column, lines: Column) -> Column:
@@ -218,7 +216,7 @@ def _numbered(texts: Column) -> Column:
 
 
 def section_steps(text: Column) -> Column:
-    """Main path: the text after the first instruction word, split at numbers and bullets, at most 30."""
+    """Main path: the text after the first instruction word, split at numbers and bullets."""
     section = strip(F.regexp_extract(text, lx.INSTRUCTION_SECTION_PATTERN, 1))
     items = split_keep_text(section, r"\d+\.\s+|[*\-•]\s+")
 
@@ -237,7 +235,7 @@ def section_steps(text: Column) -> Column:
         F.filter(items, kept),
         lambda x: F.regexp_replace(strip(F.replace(x, F.lit("**"), F.lit(""))), r"^\([^)]*\):\s*", ""),
     )
-    return _numbered(F.slice(F.filter(clean, lambda x: F.length(x) >= 15), 1, 30))
+    return _numbered(F.filter(clean, lambda x: F.length(x) >= 15))
 
 
 def marked_steps(lines: Column) -> Column:
@@ -288,16 +286,15 @@ def marked_steps(lines: Column) -> Column:
 
 
 def lenient_steps(lines: Column) -> Column:
-    """Fallback 2: numbered lines or lines with a cooking verb, at most 20."""
+    """Fallback 2: numbered lines or lines with a cooking verb."""
     plain = F.transform(F.filter(lines, lambda x: F.length(x) >= 15), lambda x: F.replace(x, F.lit("**"), F.lit("")))
     kept = F.filter(
         plain,
         lambda x: ~starts_with_any(F.lower(x), lx.LENIENT_STEP_SKIP_STARTS)
-        & (x.rlike(_NUMBER_THEN_TEXT) | contains_any(F.lower(x), lx.LENIENT_STEP_VERBS))
-        & (F.length(x) < 300),
+        & (x.rlike(_NUMBER_THEN_TEXT) | contains_any(F.lower(x), lx.LENIENT_STEP_VERBS)),
     )
     bare = F.transform(kept, lambda x: F.regexp_replace(F.regexp_replace(x, _NUMBER, ""), r"^[*\-•]+\s*", ""))
-    return _numbered(F.slice(bare, 1, 20))
+    return _numbered(bare)
 
 
 def instructions_of(text: Column, lines: Column) -> Column:
@@ -361,9 +358,7 @@ def extract_posts(df: DataFrame, keys: list[str]) -> DataFrame:
     )
     described = add_attributes(parts, "_found_title", "_text")
     paragraph = F.get(F.split("_raw", "\n\n"), F.lit(0))
-    opening = F.when(
-        (F.length(paragraph) < 500) & ~F.lower(paragraph).contains("ingredient"), none_if_blank(strip(paragraph))
-    )
+    opening = F.when(~F.lower(paragraph).contains("ingredient"), none_if_blank(strip(paragraph)))
     return described.select(
         *keys,
         F.when(F.col("_raw").isNull(), "No recipe text found in entry").alias("error"),

@@ -105,7 +105,7 @@ def smart_parse(line: Column, keep_from: Column | None = None) -> Column:
     def checked(text: Column) -> Column:
         return let(F.lower(text), lambda lower: F.when(~_not_an_ingredient(text, lower), shapes(text)))
 
-    return F.when(F.length(line) <= 200, let(strip_markup(line), checked))
+    return let(strip_markup(line), checked)
 
 
 # --- line-based and lenient parses ---------------------------------------------------------------------
@@ -118,29 +118,24 @@ def line_parse(line: Column) -> Column:
         item = F.when(merge, F.concat_ws(" ", m["unit"], m["item"])).otherwise(m["item"])
         unit = F.when(merge, F.lit("")).otherwise(m["unit"])
         amount = F.concat_ws(" ", none_if_blank(m["amount"]), none_if_blank(unit))
-        return F.when(
-            F.length(m["item"]) <= 150,
-            ingredient(item, F.when(amount == "", F.lit("to taste")).otherwise(amount)),
-        )
+        return ingredient(item, F.when(amount == "", F.lit("to taste")).otherwise(amount))
 
     groups = F.struct(
         strip(F.regexp_extract(line, p, 1)).alias("amount"),
         strip(F.regexp_extract(line, p, 2)).alias("unit"),
         strip(F.regexp_extract(line, p, 3)).alias("item"),
     )
-    usable = F.length(line).between(2, 200) & (occurrences(line, ".") < 3) & (occurrences(line, "!") < 3)
+    usable = (F.length(line) >= 2) & (occurrences(line, ".") < 3) & (occurrences(line, "!") < 3)
     return F.when(
         usable,
-        F.when(line.rlike(p), let(groups, build)).when(
-            F.length(line) <= 120, ingredient(line, F.lit("to taste"))
-        ),
+        F.when(line.rlike(p), let(groups, build)).otherwise(ingredient(line, F.lit("to taste"))),
     )
 
 
 def simple_parse(line: Column) -> Column:
     p = lx.SIMPLE_LINE_PATTERN
     return F.when(
-        (line != "") & (F.length(line) <= 120),
+        line != "",
         F.when(
             line.rlike(p), ingredient(strip(F.regexp_extract(line, p, 2)), strip(F.regexp_extract(line, p, 1)))
         ).otherwise(ingredient(line, F.lit("to taste"))),

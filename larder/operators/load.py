@@ -104,8 +104,7 @@ def skip_reason(item: Column) -> Column:
     def rules(bare: Column, lower: Column) -> Column:
         sentence = bare.endswith(".") & (word_count(item) > 5) & contains_any(lower, lexicon.LOAD_SENTENCE_VERBS)
         return (
-            F.when(F.length(item) > 500, "too long")
-            .when(contains_any(lower, lexicon.LOAD_SKIP_WORDS), "instruction or header")
+            F.when(contains_any(lower, lexicon.LOAD_SKIP_WORDS), "instruction or header")
             .when(F.lower(bare).isin(lexicon.LOAD_NOTES), "note")
             .when((F.length(bare) < 3) & ~bare.rlike(r"^\d+$"), "too short")
             .when(sentence, "sentence")
@@ -130,7 +129,7 @@ def check_lines(ingredients: str = "ingredients") -> Column:
 
 
 def prepare_lines(checked: str = "checked") -> Column:
-    """The checked lines with clean name, parsed amount and shortened notes."""
+    """The checked lines with clean name, parsed amount and notes."""
     return F.transform(
         checked,
         lambda i: F.struct(
@@ -139,7 +138,7 @@ def prepare_lines(checked: str = "checked") -> Column:
             i["reason"].alias("reason"),
             F.when(i["reason"].isNull(), clean_name(i["item"])).alias("name"),
             parse_amount(i["amount"]).alias("parsed"),
-            F.when(i["notes"] != "", F.substring(i["notes"], 1, 500)).alias("notes"),
+            F.when(i["notes"] != "", i["notes"]).alias("notes"),
         ),
     )
 
@@ -160,8 +159,8 @@ def clean_staged(staged: DataFrame) -> DataFrame:
     return prepared.select(
         "path",
         F.coalesce(F.col("uuid"), recipe_uuid(F.coalesce("title", F.lit("")))).alias("uuid"),
-        F.substring(F.when(F.col("title") == "", lexicon.UNTITLED).otherwise(F.col("title")), 1, 500).alias("title"),
-        F.when(F.col("description") != "", F.substring("description", 1, 1000)).alias("description"),
+        F.when(F.col("title") == "", lexicon.UNTITLED).otherwise(F.col("title")).alias("title"),
+        F.when(F.col("description") != "", F.col("description")).alias("description"),
         instruction_texts().alias("instructions"),
         prep.alias("prep_time_minutes"),
         cook.alias("cook_time_minutes"),
@@ -249,7 +248,7 @@ def kept_lines(rows: DataFrame) -> DataFrame:
         .where(F.col("l.reason").isNull())
         .select(
             "recipe_id", "l.name", F.col("l.parsed.amount").cast("decimal(10,3)").alias("amount"),
-            F.substring("l.parsed.unit", 1, 100).alias("unit"), F.col("l.parsed.unit_type").alias("unit_type"),
+            F.col("l.parsed.unit").alias("unit"), F.col("l.parsed.unit_type").alias("unit_type"),
             "l.notes", "l.order_index",
         )
     )
@@ -387,12 +386,12 @@ def load_report(status: DataFrame) -> DataFrame:
 
 
 def first_errors(status: DataFrame, n: int = 10) -> DataFrame:
-    """The first errors in path order, shortened to 100 characters."""
+    """The first errors in path order."""
     return (
         status.where(F.col("error").isNotNull())
         .orderBy("path")
         .limit(n)
-        .select("path", F.substring("error", 1, 100).alias("error"))
+        .select("path", "error")
     )
 
 

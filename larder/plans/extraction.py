@@ -79,6 +79,32 @@ def steps_and_times(spark, sf_dir):
     )
 
 
+def long_posts(spark, sf_dir):
+    """E4, E7, E11, E12 without limits: about eighty ingredients, long names, forty steps, one of them long."""
+    name = F.when(F.col("order_index") == 2, F.concat("name", F.lit(" "), F.repeat(F.lit("z"), 300))).otherwise(F.col("name"))
+    line = F.concat(F.lit("- "), F.col("quantity").cast("int").cast("string"), F.lit(" "), "unit", F.lit(" "), name)
+    steps = F.transform(
+        F.sequence(F.lit(1), F.lit(40)),
+        lambda i: F.concat(
+            i.cast("string"), F.lit(". Combine all of the parts number "), i.cast("string"), F.when(i == 7, F.repeat(F.lit(" again"), 80)).otherwise("")
+        ),
+    )
+    known = bridge(spark, sf_dir).join(recipes(spark, sf_dir).select("id"), F.col("recipe_id") == F.col("id"), "left_semi")
+    p = known.groupBy(F.floor(F.col("recipe_id") / 20).alias("post_id")).agg(F.collect_list(line).alias("all")).select(
+        "post_id",
+        F.concat(
+            F.lit("Hello\n\n**Ingredients:**\n"), F.array_join("all", "\n"), F.lit("\n\n**Instructions:**\n"), F.array_join(steps, "\n")
+        ).alias("comment"),
+    )
+    made = extract.extract_recipes(p, ["post_id"])
+    items = F.array_sort(F.transform("ingredients", lambda i: F.concat_ws("/", i["item"], i["amount"])))
+    last = F.array_max(F.transform("instructions", lambda s: F.length(s["description"])))
+    return made.select(
+        "post_id", F.size("ingredients").alias("n_items"), F.md5(F.array_join(items, ";")).alias("items"),
+        F.size("instructions").alias("n_steps"), last.alias("longest_step"),
+    )
+
+
 def report(spark, sf_dir):
     p = posts(spark, sf_dir).withColumn("comment", F.when(F.col("post_id") % 9 != 0, F.col("comment")))
     return extract.extraction_report(extract.extract_recipes(p, ["post_id"]))
@@ -146,8 +172,15 @@ _POSTED = "EXISTS (SELECT 1 FROM bridge b WHERE b.recipe_id = id)"
 
 _INGREDIENTS_SQL = """
 SELECT recipe_id AS post_id, name AS item, CAST(CAST(quantity AS INT) AS VARCHAR) || ' ' || unit AS amount, count(*) AS n
-FROM (SELECT *, row_number() OVER (PARTITION BY recipe_id ORDER BY order_index, name, quantity, line_tie) AS r FROM bridge)
-WHERE r <= 30 AND recipe_id IN (SELECT id FROM recipes) GROUP BY 1, 2, 3
+FROM bridge
+WHERE recipe_id IN (SELECT id FROM recipes) GROUP BY 1, 2, 3
+"""
+
+_LONG_SQL = """
+SELECT recipe_id // 20 AS post_id, CAST(count(*) AS INT) AS n_items, md5(string_agg(t, ';' ORDER BY t)) AS items, 40::INT AS n_steps,
+  length('Combine all of the parts number 7') + 480 AS longest_step
+FROM (SELECT recipe_id, CASE WHEN order_index = 2 THEN name || ' ' || repeat('z', 300) ELSE name END || '/' || CAST(quantity AS INT) || ' ' || unit AS t
+  FROM bridge WHERE recipe_id IN (SELECT id FROM recipes)) GROUP BY 1
 """
 
 _STEPS_SQL = f"""
@@ -199,6 +232,7 @@ FROM lowered
 ENTRIES = {
     "E1_E4_E7_E11_ingredients": (ingredients, oracle(_INGREDIENTS_SQL)),
     "E12_E16_E17_E22_steps_and_times": (steps_and_times, oracle(_STEPS_SQL)),
+    "E4_E12_long_posts": (long_posts, oracle(_LONG_SQL)),
     "E10_E23_structured": (structured, oracle(_STRUCTURED_SQL)),
     "E18_E21_attributes": (attributes, oracle(_ATTRIBUTES_SQL, _KEYWORD_CTE)),
     "E24_extraction_report": (

@@ -107,7 +107,7 @@ def _lines(spark, sf_dir):
 
 def l5_l6(spark, sf_dir):
     return _lines(spark, sf_dir).select(
-        "path", "l.order_index", F.length("l.item").cast("int").alias("n_chars"), F.substring("l.item", 1, 300).alias("item"),
+        "path", "l.order_index", F.length("l.item").cast("int").alias("n_chars"), F.col("l.item").alias("item"),
         "l.reason",
     )
 
@@ -314,8 +314,7 @@ numbered AS (
     lower(item) AS low, trim(item, {_BLANK}) AS bare, lower(trim(amount)) AS amt FROM split_lines),
 parsed AS (
   SELECT *,
-    CASE WHEN length(item) > 500 THEN 'too long'
-         WHEN {_any('low', lexicon.LOAD_SKIP_WORDS)} THEN 'instruction or header'
+    CASE WHEN {_any('low', lexicon.LOAD_SKIP_WORDS)} THEN 'instruction or header'
          WHEN lower(bare) IN ({', '.join(_text(n) for n in lexicon.LOAD_NOTES)}) THEN 'note'
          WHEN length(bare) < 3 AND NOT regexp_full_match(bare, '\\d+') THEN 'too short'
          WHEN bare LIKE '%.' AND len(regexp_extract_all(item, '\\S+')) > 5 AND {_any('low', lexicon.LOAD_SENTENCE_VERBS)} THEN 'sentence'
@@ -339,11 +338,11 @@ cleaned AS (
     trim(regexp_replace(CASE WHEN item LIKE '%&amp;lt;%' THEN replace(item, '&amp;lt;', '&lt;').replace('&quot;', '"') ELSE unescaped END, '\\s+', ' ', 'g')) AS n0
   FROM parsed LEFT JOIN unit_rows u ON unit_text = spelling),
 final_lines AS (
-  SELECT *, substr(CASE WHEN regexp_matches(n0, '^\\d') AND length(n1) > 2 THEN n1 ELSE n0 END, 1, 200) AS name FROM (
+  SELECT *, CASE WHEN regexp_matches(n0, '^\\d') AND length(n1) > 2 THEN n1 ELSE n0 END AS name FROM (
     SELECT *, trim(regexp_replace(regexp_replace(n0, '\\([^)]*\\)$', ''), '{lexicon.LEADING_QUANTITY_PATTERN}', '')) AS n1 FROM cleaned)),
 counts AS (SELECT path, CAST(count(*) AS INT) AS n_total, CAST(count(*) FILTER (reason IS NULL) AS INT) AS n_valid FROM parsed GROUP BY 1),
 checked AS (
-  SELECT named.*, substr(title, 1, 500) AS short_title, coalesce(n_total, 0) AS n_total, coalesce(n_valid, 0) AS n_valid,
+  SELECT named.*, title AS short_title, coalesce(n_total, 0) AS n_total, coalesce(n_valid, 0) AS n_valid,
     CASE WHEN n_total IS NULL THEN 'record does not fulfil the schema'
          WHEN n_valid < 2 THEN 'too few valid ingredients (' || n_valid || ' valid, ' || (n_total - n_valid) || ' skipped of ' || n_total || ')'
          WHEN trim(title) = '' THEN 'recipe title is blank' END AS problem
@@ -408,13 +407,13 @@ ENTRIES = {
     "L4_instruction_texts": (l4, _sql("SELECT path, 'Do it | Mix: Mix it well | Step 2: Rest' AS steps FROM staged")),
     "L5_L6_L14_skip_reasons": (
         l5_l6,
-        _sql("SELECT path, order_index, CAST(length(item) AS INT) AS n_chars, substr(item, 1, 300) AS item, reason FROM parsed"),
+        _sql("SELECT path, order_index, CAST(length(item) AS INT) AS n_chars, item, reason FROM parsed"),
     ),
     "L7_L8_amounts": (
         l7_l8, _sql("SELECT path, order_index, amount_value AS amount, unit, unit_type FROM cleaned"),
     ),
     "L9_names": (
-        l9, _sql("SELECT path, order_index, name, substr(notes, 1, 500) AS notes FROM final_lines WHERE reason IS NULL"),
+        l9, _sql("SELECT path, order_index, name, notes FROM final_lines WHERE reason IS NULL"),
     ),
     "L10_L11_times": (
         l10_l11,
@@ -428,7 +427,7 @@ ENTRIES = {
         l12_l13,
         _sql(
             """SELECT path, CAST(length(short_title) AS INT) AS title_length,
-               CASE WHEN description IS NOT NULL THEN CAST(least(length(description), 1000) AS INT) END AS description_length, n_total, n_valid, problem FROM checked"""
+               CASE WHEN description IS NOT NULL THEN CAST(length(description) AS INT) END AS description_length, n_total, n_valid, problem FROM checked"""
         ),
     ),
     "L15_L18_load_status": (l15_l18, _sql("SELECT path, title, uuid, status, recipe_id, error FROM status")),
@@ -439,7 +438,7 @@ ENTRIES = {
         l20_bridge,
         _sql(
             """SELECT recipe_id, i.id AS ingredient_id, m.id AS measurement_id,
-               CAST(CAST(amount_value AS DECIMAL(10,3)) AS DOUBLE) AS amount, substr(notes, 1, 500) AS notes, order_index
+               CAST(CAST(amount_value AS DECIMAL(10,3)) AS DOUBLE) AS amount, notes, order_index
                FROM kept JOIN ingredient_rows i USING (name) LEFT JOIN measurement_rows m ON m.name = kept.unit"""
         ),
     ),
@@ -539,6 +538,6 @@ ENTRIES = {
     ),
     "L25_first_errors": (
         l25_errors,
-        _sql("SELECT path, substr(error, 1, 100) AS error FROM status WHERE error IS NOT NULL ORDER BY path LIMIT 10"),
+        _sql("SELECT path, error FROM status WHERE error IS NOT NULL ORDER BY path LIMIT 10"),
     ),
 }

@@ -174,12 +174,12 @@ doc_lines AS (
     CASE WHEN order_index = 3 AND recipe_id % 7 = 2 THEN NULL WHEN recipe_id % 50 = 3 THEN rpad(name, 120, 'x') ELSE name END AS name FROM bridge),
 doc_recipes AS (SELECT * REPLACE (CASE WHEN id % 61 = 5 THEN ['{lexicon.NO_STEPS_TEXT}'] ELSE instructions END AS instructions) FROM recipes),
 doc_nested AS (
-  SELECT recipe_id, count(*) AS n_all, max(length(name)) AS longest, count(name) FILTER (length(name) <= 100) AS n_kept,
+  SELECT recipe_id, count(*) AS n_all, count(name) AS n_kept,
     string_agg(concat_ws('/', name, CAST(quantity AS INT), unit, coalesce(notes, '-')), ';'
-      ORDER BY order_index, n, quantity, line_tie, unit, coalesce(notes, '')) FILTER (length(name) <= 100) AS ingredients
+      ORDER BY order_index, n, quantity, line_tie, unit, coalesce(notes, '')) FILTER (name IS NOT NULL) AS ingredients
   FROM doc_lines GROUP BY 1),
 doc_rows AS (
-  SELECT r.*, n_all IS NULL OR id % 61 = 5 OR (n_all = 1 AND coalesce(longest, 0) > 100) AS malformed, coalesce(n.ingredients, '') AS shown,
+  SELECT r.*, n_all IS NULL OR id % 61 = 5 AS malformed, coalesce(n.ingredients, '') AS shown,
     coalesce(n_kept, 0)::INT AS n_kept FROM doc_recipes r LEFT JOIN doc_nested n ON id = recipe_id)
 """
 _SUBMISSIONS = """
