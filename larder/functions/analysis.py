@@ -30,9 +30,10 @@ _STEP_2 = {
     "biliti": "ble",
 }
 _STEP_3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
-_STEP_4 = (
-    "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
-).split()
+_STEP_4 = [
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism",
+    "ate", "iti", "ous", "ive", "ize",
+]
 
 
 def _shape(stem: str) -> str:

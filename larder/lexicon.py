@@ -7,15 +7,11 @@ otherwise.
 """
 
 
-def _words(text: str) -> list[str]:
-    return [w.strip().replace("_", " ") for w in text.split("|")]
-
-
 # --- line tests -----------------------------------------------------------
 INGREDIENT_LINE_PATTERN = r"\d+(?:\.\d+)?(?:/\d+)?\s*[a-zA-Z]+\s+.+|\d+(?:\.\d+)?(?:/\d+)?\s+.+|[a-zA-Z]+\s+.+"
-INGREDIENT_LINE_WORDS = _words("cup|tablespoon|teaspoon|pound|ounce|gram|kg|ml|liter")
+INGREDIENT_LINE_WORDS = ["cup", "tablespoon", "teaspoon", "pound", "ounce", "gram", "kg", "ml", "liter"]
 INSTRUCTION_LINE_PATTERN = r"\d+\.\s*.+|Step\s+\d+:\s*.+|\d+\)\s*.+"
-INSTRUCTION_LINE_WORDS = _words("mix|stir|cook|bake|fry|boil|heat|add|remove|serve")
+INSTRUCTION_LINE_WORDS = ["mix", "stir", "cook", "bake", "fry", "boil", "heat", "add", "remove", "serve"]
 
 # --- title and description ------------------------------------------------
 TITLE_PATTERNS = [
@@ -53,73 +49,91 @@ PAN_SIZE_PATTERNS = [
 
 # --- difficulty -----------------------------------------------------------
 DIFFICULTY_WORDS = {
-    "easy": _words("beginner|simple|quick|easy"),
-    "medium": _words("intermediate|medium"),
-    "hard": _words("advanced|difficult|hard|complex|challenging"),
+    "easy": ["beginner", "simple", "quick", "easy"],
+    "medium": ["intermediate", "medium"],
+    "hard": ["advanced", "difficult", "hard", "complex", "challenging"],
 }
-ADVANCED_TECHNIQUES = _words(
-    "sous vide|tempering|emulsify|caramelize|braise|confit|deglaze|flambe|reduce|blanch|score"
-)
+ADVANCED_TECHNIQUES = [
+    "sous vide", "tempering", "emulsify", "caramelize", "braise", "confit", "deglaze", "flambe", "reduce",
+    "blanch", "score",
+]
 BULLET_COUNT_PATTERN = r"(?:^|\n)\s*[-*•]"
 STEP_COUNT_PATTERN = r"(?:^|\n)\s*\d+[.)]"
 
 # --- cuisine (order is the tie-break) --------------------------------------
 CUISINE_WORDS = {
-    "Italian": _words(
-        "italian|pasta|risotto|parmigiano|parmesan|mozzarella|basil|marinara|carbonara|lasagna|tiramisu|bruschetta"
-    ),
-    "Mexican": _words(
-        "mexican|taco|burrito|enchilada|salsa|guacamole|tortilla|cilantro|jalapeño|chipotle|fajita|quesadilla"
-    ),
-    "Chinese": _words(
-        "chinese|stir fry|wok|soy sauce|ginger|bok choy|szechuan|dim sum|dumpling|lo mein|chow mein"
-    ),
-    "Japanese": _words("japanese|sushi|ramen|miso|teriyaki|tempura|wasabi|udon|soba|sake|mirin|nori"),
-    "Thai": _words(
-        "thai|pad thai|curry paste|lemongrass|fish sauce|coconut milk|basil thai|galangal|kaffir lime"
-    ),
-    "Indian": _words(
-        "indian|curry|naan|tandoori|masala|tikka|cumin|turmeric|garam masala|cardamom|biryani"
-    ),
-    "French": _words(
-        "french|béarnaise|hollandaise|croissant|baguette|coq au vin|ratatouille|crème|bourguignon|soufflé"
-    ),
-    "Greek": _words(
-        "greek|feta|tzatziki|gyro|moussaka|baklava|oregano|kalamata|spanakopita|souvlaki"
-    ),
-    "Korean": _words(
-        "korean|kimchi|bibimbap|bulgogi|gochujang|ssamjang|korean bbq|banchan|gochugaru|soju"
-    ),
-    "Vietnamese": _words("vietnamese|pho|banh mi|spring roll|nuoc mam"),
-    "Spanish": _words("spanish|paella|tapas|chorizo|gazpacho|sangria"),
-    "American": _words("bbq|barbecue|burger|hotdog|mac and cheese|southern|cajun|creole|fried chicken"),
-    "Middle Eastern": _words(
-        "middle eastern|hummus|falafel|tahini|shawarma|pita|chickpea|couscous|kebab|baba ganoush"
-    ),
-    "Mediterranean": _words("mediterranean|olive oil|feta|olives|lemon"),
+    "Italian": [
+        "italian", "pasta", "risotto", "parmigiano", "parmesan", "mozzarella", "basil", "marinara",
+        "carbonara", "lasagna", "tiramisu", "bruschetta",
+    ],
+    "Mexican": [
+        "mexican", "taco", "burrito", "enchilada", "salsa", "guacamole", "tortilla", "cilantro", "jalapeño",
+        "chipotle", "fajita", "quesadilla",
+    ],
+    "Chinese": [
+        "chinese", "stir fry", "wok", "soy sauce", "ginger", "bok choy", "szechuan", "dim sum", "dumpling",
+        "lo mein", "chow mein",
+    ],
+    "Japanese": [
+        "japanese", "sushi", "ramen", "miso", "teriyaki", "tempura", "wasabi", "udon", "soba", "sake",
+        "mirin", "nori",
+    ],
+    "Thai": [
+        "thai", "pad thai", "curry paste", "lemongrass", "fish sauce", "coconut milk", "basil thai",
+        "galangal", "kaffir lime",
+    ],
+    "Indian": [
+        "indian", "curry", "naan", "tandoori", "masala", "tikka", "cumin", "turmeric", "garam masala",
+        "cardamom", "biryani",
+    ],
+    "French": [
+        "french", "béarnaise", "hollandaise", "croissant", "baguette", "coq au vin", "ratatouille", "crème",
+        "bourguignon", "soufflé",
+    ],
+    "Greek": [
+        "greek", "feta", "tzatziki", "gyro", "moussaka", "baklava", "oregano", "kalamata", "spanakopita",
+        "souvlaki",
+    ],
+    "Korean": [
+        "korean", "kimchi", "bibimbap", "bulgogi", "gochujang", "ssamjang", "korean bbq", "banchan",
+        "gochugaru", "soju",
+    ],
+    "Vietnamese": ["vietnamese", "pho", "banh mi", "spring roll", "nuoc mam"],
+    "Spanish": ["spanish", "paella", "tapas", "chorizo", "gazpacho", "sangria"],
+    "American": [
+        "bbq", "barbecue", "burger", "hotdog", "mac and cheese", "southern", "cajun", "creole",
+        "fried chicken",
+    ],
+    "Middle Eastern": [
+        "middle eastern", "hummus", "falafel", "tahini", "shawarma", "pita", "chickpea", "couscous", "kebab",
+        "baba ganoush",
+    ],
+    "Mediterranean": ["mediterranean", "olive oil", "feta", "olives", "lemon"],
 }
 
 # --- meal type (order is the tie-break) ------------------------------------
 MEAL_WORDS = {
-    "breakfast": _words(
-        "breakfast|pancake|waffle|omelette|omelet|french toast|cereal|granola|muffin|bagel|croissant"
-        "|eggs benedict|breakfast burrito|brunch|morning"
-    ),
-    "lunch": _words("lunch|sandwich|wrap|salad|soup and salad|midday"),
-    "dinner": _words(
-        "dinner|supper|main course|entrée|entree|evening meal|brat|bratwurst|sausage|steak|chops|roast"
-        "|burger|gravy|pasta|chicken|beef|pork|fish"
-    ),
-    "dessert": _words(
-        "dessert|cake|cookie|brownie|pie|tart|pudding|ice cream|sorbet|mousse|truffle|candy|sweet"
-        "|frosting|cheesecake|cupcake|macaron|tiramisu|parfait|fudge"
-    ),
-    "snack": _words(
-        "snack|appetizer|finger food|dip|chips|popcorn|energy ball|trail mix|tapas|mezze"
-    ),
+    "breakfast": [
+        "breakfast", "pancake", "waffle", "omelette", "omelet", "french toast", "cereal", "granola", "muffin",
+        "bagel", "croissant", "eggs benedict", "breakfast burrito", "brunch", "morning",
+    ],
+    "lunch": ["lunch", "sandwich", "wrap", "salad", "soup and salad", "midday"],
+    "dinner": [
+        "dinner", "supper", "main course", "entrée", "entree", "evening meal", "brat", "bratwurst", "sausage",
+        "steak", "chops", "roast", "burger", "gravy", "pasta", "chicken", "beef", "pork", "fish",
+    ],
+    "dessert": [
+        "dessert", "cake", "cookie", "brownie", "pie", "tart", "pudding", "ice cream", "sorbet", "mousse",
+        "truffle", "candy", "sweet", "frosting", "cheesecake", "cupcake", "macaron", "tiramisu", "parfait",
+        "fudge",
+    ],
+    "snack": [
+        "snack", "appetizer", "finger food", "dip", "chips", "popcorn", "energy ball", "trail mix", "tapas",
+        "mezze",
+    ],
 }
-SWEET_WORDS = _words("sugar|chocolate|cocoa|honey|maple syrup|vanilla extract")
-SAVOURY_WORDS = _words("chicken|beef|pork|fish|meat|pasta")
+SWEET_WORDS = ["sugar", "chocolate", "cocoa", "honey", "maple syrup", "vanilla extract"]
+SAVOURY_WORDS = ["chicken", "beef", "pork", "fish", "meat", "pasta"]
 
 # --- dietary tags (order is the output order) -------------------------------
 TAG_WORDS = {
@@ -137,10 +151,11 @@ TAG_WORDS = {
     "kosher": ["kosher"],
     "halal": ["halal"],
 }
-MEAT_WORDS = _words(
-    "chicken|beef|pork|fish|meat|bacon|sausage|turkey|lamb|duck|seafood|shrimp|salmon"
-)
-DAIRY_WORDS = _words("milk|cheese|butter|cream|yogurt|whey")
+MEAT_WORDS = [
+    "chicken", "beef", "pork", "fish", "meat", "bacon", "sausage", "turkey", "lamb", "duck", "seafood",
+    "shrimp", "salmon",
+]
+DAIRY_WORDS = ["milk", "cheese", "butter", "cream", "yogurt", "whey"]
 EGG_WORDS = ["egg"]
 
 # --- sections ---------------------------------------------------------------
@@ -151,31 +166,34 @@ INGREDIENT_SECTION_PATTERN = (
 INSTRUCTION_SECTION_PATTERN = (
     r"(?is)(?:\*\*)?(?:Instructions?|Directions?|Method|Steps?)(?:\*\*)?:?\s*(.*)\z"
 )
-INGREDIENT_START_WORDS = _words("ingredient|what you need|you will need|shopping list")
-INGREDIENT_END_WORDS = _words("instruction|direction|method|step|preparation")
-INSTRUCTION_START_WORDS = _words("instruction|direction|method|step|preparation|how to")
+INGREDIENT_START_WORDS = ["ingredient", "what you need", "you will need", "shopping list"]
+INGREDIENT_END_WORDS = ["instruction", "direction", "method", "step", "preparation"]
+INSTRUCTION_START_WORDS = ["instruction", "direction", "method", "step", "preparation", "how to"]
 SECTION_TITLE_ITEMS = ["ingredients", "ingredient list", "what you need"]
 STEP_TITLE_ITEMS = ["instructions", "directions", "method", "steps"]
 VIDEO_LINE_STARTS = ["video recipe is", "(video", "recipe video"]
 
 # --- ingredient line parsing --------------------------------------------------
 SERVES_PATTERN = r"^\(serves?\s+\d+\)"
-FOR_HEADER_QUANTITY_WORDS = _words("cup|tbsp|tsp|oz|lb|gram|ml|liter")
+FOR_HEADER_QUANTITY_WORDS = ["cup", "tbsp", "tsp", "oz", "lb", "gram", "ml", "liter"]
 LINE_NOTES = ["to taste", "optional", "as needed", "if desired"]
 SMART_NOTES = ["(optional)", "optional", "to taste", "as needed", "if desired"]
 STANDALONE_NOTES = ["to taste", "optional", "as needed", "if desired", "(optional)", "for garnish"]
-GROUP_HEADER_WORDS = _words(
-    "dough|sauce|topping|garnish|marinade|filling|crust|batter|glaze|syrup|broth|base|layer"
-)
-STEP_HEADER_WORDS = _words("preparation|instructions|method|steps|directions")
-SMART_VERBS = _words(
-    "coat|sift|strain|cook|add|mix|stir|deglaze|fix|serve|place|heat|pour|bring|reduce|simmer|bake|remove"
-    "|set|cover|wait|let|transfer|combine|whisk|beat|fold|knead|roll|cut|chop|slice|dice|fill|toss"
-)
-BAD_FIRST_WORDS = _words(
-    "coat|sift|strain|fill|toss|serve|mix|stir|cook|bake|heat|pour|bring|combine|transfer|place|remove"
-    "|set|cover|let|allow|preheat|add|blend|whisk|beat|fold"
-)
+GROUP_HEADER_WORDS = [
+    "dough", "sauce", "topping", "garnish", "marinade", "filling", "crust", "batter", "glaze", "syrup",
+    "broth", "base", "layer",
+]
+STEP_HEADER_WORDS = ["preparation", "instructions", "method", "steps", "directions"]
+SMART_VERBS = [
+    "coat", "sift", "strain", "cook", "add", "mix", "stir", "deglaze", "fix", "serve", "place", "heat",
+    "pour", "bring", "reduce", "simmer", "bake", "remove", "set", "cover", "wait", "let", "transfer",
+    "combine", "whisk", "beat", "fold", "knead", "roll", "cut", "chop", "slice", "dice", "fill", "toss",
+]
+BAD_FIRST_WORDS = [
+    "coat", "sift", "strain", "fill", "toss", "serve", "mix", "stir", "cook", "bake", "heat", "pour", "bring",
+    "combine", "transfer", "place", "remove", "set", "cover", "let", "allow", "preheat", "add", "blend",
+    "whisk", "beat", "fold",
+]
 # tried in this order; the first that matches and leaves an item of 2+ characters wins
 QUANTITY_ALTERNATIVE_PATTERN = r"(?di)^([\d/\-\.x]+)\s+([a-zA-Z]+)\s*\([^)]+\)\s+(.+)$"
 TRAILING_AMOUNT_PATTERN = r"(?di)^(.+?)\s*\(([^)]+)\).*$"
@@ -184,14 +202,19 @@ ABOUT_QUANTITY_PATTERN = (
     r"(?di)^(?:about|approx|approximately)?\s*([\d/\-\.]+)\s+([a-zA-Z]+)\s+(?:worth of\s+)?(.+)$"
 )
 QUANTITY_ONLY_PATTERN = r"(?di)^([\d/\-\.]+)\s+(.+)$"
-STANDARD_UNITS = _words(
-    "cup|cups|c|tbsp|tsp|tablespoon|tablespoons|teaspoon|teaspoons|oz|ounce|ounces|lb|lbs|pound|pounds|g"
-    "|gram|grams|kg|kilogram|kilograms|ml|milliliter|milliliters|l|liter|liters|quart|quarts|qt|pint|pints"
-    "|pt|gallon|gallons|gal|clove|cloves|piece|pieces|slice|slices|can|cans|jar|jars|package|packages|pkg"
-    "|bunch|bunches|head|heads|stalk|stalks|sprig|sprigs|pinch|dash"
-)
+STANDARD_UNITS = [
+    "cup", "cups", "c", "tbsp", "tsp", "tablespoon", "tablespoons", "teaspoon", "teaspoons", "oz", "ounce",
+    "ounces", "lb", "lbs", "pound", "pounds", "g", "gram", "grams", "kg", "kilogram", "kilograms", "ml",
+    "milliliter", "milliliters", "l", "liter", "liters", "quart", "quarts", "qt", "pint", "pints", "pt",
+    "gallon", "gallons", "gal", "clove", "cloves", "piece", "pieces", "slice", "slices", "can", "cans", "jar",
+    "jars", "package", "packages", "pkg", "bunch", "bunches", "head", "heads", "stalk", "stalks", "sprig",
+    "sprigs", "pinch", "dash",
+]
 LINE_PATTERN = r"(?d)^([\d\s/\-\.]+)?\s*([a-zA-Z]+)?\s+(.+)$"
-LINE_UNITS = _words("cup|cups|tbsp|tsp|tablespoon|teaspoon|oz|lb|g|kg|ml|l|pound|ounce")
+LINE_UNITS = [
+    "cup", "cups", "tbsp", "tsp", "tablespoon", "teaspoon", "oz", "lb", "g", "kg", "ml", "l", "pound",
+    "ounce",
+]
 SIMPLE_LINE_PATTERN = r"(?d)^([\d\s/\-\.]+(?:\s*[a-zA-Z]+)?)\s+(.+)$"
 LENIENT_MEASURE_PATTERN = (
     r"(?i)\d|\bcup|tbsp|tsp|tablespoon|teaspoon|ounce|oz|pound|lb|gram|g|kg|ml|liter|l\b"
@@ -201,13 +224,15 @@ LISTED_UNIT_PATTERN = r"(?d)^(\d+(?:\.\d+)?(?:/\d+)?)\s*([a-zA-Z]+)\s+(.+)$"
 LISTED_QUANTITY_PATTERN = r"(?d)^(\d+(?:\.\d+)?(?:/\d+)?)\s+(.+)$"
 
 # --- instruction line parsing -------------------------------------------------
-STEP_VERBS = _words(
-    "mix|stir|cook|bake|fry|boil|heat|add|remove|serve|combine|whisk|pour|place|put|cut|chop|dice|slice"
-    "|preheat|prepare|spread|fold|blend|process"
-)
-LENIENT_STEP_VERBS = _words(
-    "mix|stir|cook|bake|fry|boil|heat|add|remove|combine|whisk|prepare|place|serve|preheat|pour"
-)
+STEP_VERBS = [
+    "mix", "stir", "cook", "bake", "fry", "boil", "heat", "add", "remove", "serve", "combine", "whisk",
+    "pour", "place", "put", "cut", "chop", "dice", "slice", "preheat", "prepare", "spread", "fold", "blend",
+    "process",
+]
+LENIENT_STEP_VERBS = [
+    "mix", "stir", "cook", "bake", "fry", "boil", "heat", "add", "remove", "combine", "whisk", "prepare",
+    "place", "serve", "preheat", "pour",
+]
 LENIENT_STEP_SKIP_STARTS = ["ingredients:", "instructions:", "directions:"]
 
 # --- placeholders ---------------------------------------------------------------
@@ -216,26 +241,28 @@ NO_INGREDIENTS_ITEM, NO_INGREDIENTS_AMOUNT = "Ingredients listed in recipe text"
 NO_STEPS_TITLE, NO_STEPS_TEXT = "Preparation", "See full recipe text for instructions"
 
 # --- clean-up of model output ------------------------------------------------------
-MODEL_VERBS = _words(
-    "cook|add|mix|stir|deglaze|fix|serve|place|heat|pour|bring|reduce|simmer|bake|remove|set|cover|wait|let"
-    "|transfer|combine"
-)
+MODEL_VERBS = [
+    "cook", "add", "mix", "stir", "deglaze", "fix", "serve", "place", "heat", "pour", "bring", "reduce",
+    "simmer", "bake", "remove", "set", "cover", "wait", "let", "transfer", "combine",
+]
 MODEL_HEADERS = ["**preparation", "**instructions", "**method", "**steps"]
 MODEL_UNITS = ["cup", "cups", "tbsp", "tsp", "oz", "g", "kg", "ml", "l"]
 MODEL_SWAP_PATTERN = (
     r"(?di)^(\d+(?:/\d+)?(?:st|nd|rd|th)?\s*(?:cups?|tbsp?|tsp?|oz|g|kg|ml|l|cloves?|pieces?)?)\s+(.+)$"
 )
 MODEL_AMOUNT_PATTERN = r"(?d)^(\d+(?:\.\d+)?(?:/\d+)?)\s+(.+)$"
-PREP_VERBS = _words("cut|chopped|diced|minced|sliced|grated|shredded|peeled|finely")
-MAIN_COURSE_WORDS = _words(
-    "brat|sausage|chicken|beef|pork|fish|pasta|steak|chops|roast|burger|gravy"
-)
-DESSERT_WORDS = _words(
-    "cake|cookie|brownie|pie|ice cream|chocolate|frosting|icing|candy|fudge|tart|pudding"
-)
+PREP_VERBS = ["cut", "chopped", "diced", "minced", "sliced", "grated", "shredded", "peeled", "finely"]
+MAIN_COURSE_WORDS = [
+    "brat", "sausage", "chicken", "beef", "pork", "fish", "pasta", "steak", "chops", "roast", "burger",
+    "gravy",
+]
+DESSERT_WORDS = [
+    "cake", "cookie", "brownie", "pie", "ice cream", "chocolate", "frosting", "icing", "candy", "fudge",
+    "tart", "pudding",
+]
 
 # --- post selection ------------------------------------------------------------------
-SELF_POST_WORDS = _words("ingredients|instructions|preparation|prep time|cook time|servings")
+SELF_POST_WORDS = ["ingredients", "instructions", "preparation", "prep time", "cook time", "servings"]
 COMMENT_WORDS = SELF_POST_WORDS + ["total time"]
 
 # --- loading --------------------------------------------------------------------------
@@ -266,9 +293,10 @@ LOAD_SKIP_WORDS = [
     "support from", "if you make this", "if you like my recipes",
 ]
 LOAD_NOTES = ["to taste", "optional", "as needed", "if desired", "for garnish"]
-LOAD_SENTENCE_VERBS = _words(
-    "fill|toss|serve|mix|stir|cook|bake|heat|add|pour|place|combine|whisk|fold|cut|chop"
-)
+LOAD_SENTENCE_VERBS = [
+    "fill", "toss", "serve", "mix", "stir", "cook", "bake", "heat", "add", "pour", "place", "combine",
+    "whisk", "fold", "cut", "chop",
+]
 NO_AMOUNT_WORDS = ["to taste", "as needed", "taste", "needed"]
 LEADING_QUANTITY_PATTERN = (
     r"(?i)^\d+(?:\.\d+)?(?:/\d+)?\s*(?:cups?|c\.|tbsp?|tsp?|tablespoons?|teaspoons?|oz|ounces?|lbs?|pounds?"
@@ -306,7 +334,8 @@ SEED_MEASUREMENTS = [
 RECIPE_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"  # the DNS namespace of RFC 4122
 
 # --- text analysis: the stop words of the standard English analyzer --------------------
-STOP_WORDS = (
-    "a an and are as at be but by for if in into is it no not of on or such that the their then there these "
-    "they this to was will with"
-).split()
+STOP_WORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no",
+    "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to",
+    "was", "will", "with",
+]

@@ -186,19 +186,25 @@ def dietary_search(
     return without_line(wanted, lines, reduce(lambda a, b: a | b, [matches(F.col("name"), t) for t in avoid]))
 
 
-def quick(recipes: DataFrame, max_total: int, by_score: bool = False) -> DataFrame:
-    """Easy recipes within a total time, shortest first, or best score first."""
+def quick(
+    recipes: DataFrame, max_total: int, by_score: bool = False, size: int | None = None, start: int = 0
+) -> DataFrame:
+    """Easy recipes within a total time: all in no order, or a page of them, shortest or best score first."""
     hits = recipes.where((F.col("difficulty") == "easy") & (F.col("total_time_minutes") <= max_total))
     first = [F.desc("reddit_score")] if by_score else []
-    return hits.orderBy(*first, "total_time_minutes", "id")
+    return hits if size is None else hits.orderBy(*first, "total_time_minutes", "id").offset(start).limit(size)
 
 
-def weekend_projects(recipes: DataFrame, min_comments: int = 50, min_total: int = 120) -> DataFrame:
-    return recipes.where(
+def weekend_projects(
+    recipes: DataFrame, min_comments: int = 50, min_total: int = 120, size: int | None = None
+) -> DataFrame:
+    """Long, much discussed recipes: all in no order, or the best `size` by score."""
+    hits = recipes.where(
         F.col("difficulty").isin("medium", "hard")
         & (F.col("reddit_comments_count") >= min_comments)
         & (F.col("total_time_minutes") >= min_total)
-    ).orderBy(F.desc("reddit_score"), "id")
+    )
+    return hits if size is None else hits.orderBy(F.desc("reddit_score"), "id").limit(size)
 
 
 def personalised(

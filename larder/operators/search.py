@@ -226,10 +226,12 @@ def write_index(index: dict[str, DataFrame], path: str, buckets: int = 64, slice
     ).parquet(f"{path}/postings")
     for name in ("terms", "fields"):
         index[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    # the layout travels with the index: readers have to look where the writer put a word
+    index["fields"].sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/layout")
 
 
 def read_index(spark, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "fields")}
+    return {name: spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "fields", "layout")}
 
 
 def search_index(
@@ -238,7 +240,6 @@ def search_index(
     boosts: dict[str, float],
     id: str = "id",
     tie_breaker: float = 0.0,
-    buckets: int = 64,
 ) -> DataFrame:
     """Scores of all matching documents from the postings of the query words only."""
     terms, fields = query_terms(text), list(boosts)
@@ -246,6 +247,7 @@ def search_index(
     postings = index["postings"].where(wanted)
     if "bucket" in postings.columns:
         # a constant expression per word, so whole folders are pruned
+        buckets = index["layout"].first()["buckets"]
         postings = postings.where(
             F.col("bucket").isin([F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int") for t in terms])
         )

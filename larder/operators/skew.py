@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> Column:
-    """Keys that hold more than `share` of the rows, as an array.
+    """Keys that hold more than `share` of the rows, each with the number of slices it is cut into, as a map.
 
-    By arithmetic there are at most 1/share of them, whatever the size of the data.  The array is a
-    scalar subquery: one aggregation with map-side combine, evaluated once per query.
+    A slice holds a quarter of `share` at most, so the largest keys get the most slices.  By arithmetic there are
+    at most 1/share keys, whatever the size of the data; smaller keys are left to the splitting of skewed
+    partitions at run time.  The map is a scalar subquery: one aggregation with map-side combine.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     totals = counts.agg(F.sum("_n").alias("_total")).scalar()
     return (
         counts.where(F.col("_n") > totals * F.lit(share))
-        .agg(F.collect_list(key).alias("_hot"))
+        .select(key, F.ceil(F.col("_n") / (totals * F.lit(share / 4))).cast("int").alias("_slices"))
+        .agg(F.map_from_entries(F.collect_list(F.struct(key, "_slices"))).alias("_hot"))
         .scalar()
     )
 
@@ -26,18 +28,16 @@ def hot_key_join(
     keyed: DataFrame,
     key: str,
     how: str = "left",
-    slices: int = 32,
     share: float = 0.005,
 ) -> DataFrame:
     """Equi-join `facts` with `keyed` (one row per key) with the hot keys cut into slices.
 
-    Rows of a hot key get one of `slices` salts and its single row on the other side is repeated per
+    Rows of a hot key get one of its salts and its single row on the other side is repeated per
     salt, so no task sees more than a slice of it.  All other keys join as usual.  Nothing is dropped.
     """
-    is_hot = F.coalesce(F.array_contains(hot_keys(facts, key, share), F.col(key)), F.lit(False))
+    slices = F.coalesce(F.try_element_at(hot_keys(facts, key, share), F.col(key)), F.lit(1))
     others = [F.col(c) for c in facts.columns if c != key]
-    spread = F.pmod(F.xxhash64(*others), F.lit(slices)).cast("int") if others else F.lit(0)
-    left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
-    right = keyed.withColumn("_salt", F.explode(copies))
+    spread = F.pmod(F.xxhash64(*others), slices).cast("int") if others else F.lit(0)
+    left = facts.withColumn("_salt", spread)
+    right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -158,5 +158,6 @@ def quality_checks(recipes: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def without_embedding(recipes: DataFrame, vectors: DataFrame, limit: int | None = None) -> DataFrame:
-    missing = recipes.join(vectors.select("id"), "id", "left_anti").orderBy("id")
-    return missing if limit is None else missing.limit(limit)
+    """Recipes without a stored vector: all of them in no order, or the first by id."""
+    missing = recipes.join(vectors.select("id"), "id", "left_anti")
+    return missing if limit is None else missing.orderBy("id").limit(limit)

@@ -90,8 +90,7 @@ def t17(spark, sf_dir):
 
 
 def t18_ui(spark, sf_dir):
-    hits = ing.quick(recipes(spark, sf_dir), 30)
-    return hits.select("id", "title", "total_time_minutes").offset(10).limit(10)
+    return ing.quick(recipes(spark, sf_dir), 30, size=10, start=10).select("id", "title", "total_time_minutes")
 
 
 def t18_score(spark, sf_dir):

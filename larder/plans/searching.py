@@ -114,7 +114,7 @@ def q3(spark, sf_dir):
 
 def q3_stemmed(spark, sf_dir):
     boosts = {"title": 1.0, "description": 1.0}
-    return _page(s.search(docs(spark, sf_dir), "reinging heing", boosts, size=20, stem=True))
+    return _page(s.search(docs(spark, sf_dir), "reinging heing", boosts, size=20, stem=True, all_terms=True))
 
 
 _DOCS = """

@@ -38,3 +38,17 @@ def test_stemmed_search(spark):
     assert {r["id"] for r in search_all(docs, "cooked", {"title": 1.0}).collect()} == {2}
     marked = docs.where("id = 1").select(highlight(F.col("title"), "RICE coo")).first()[0]
     assert marked == "cooking <em>rice</em>"
+
+
+def test_index_keeps_its_layout(spark, tmp_path):
+    from larder.operators import search
+
+    """An index answers in full whatever the number of folders it was written with."""
+    rows = [(i, f"alpha w{i} w{i % 10}") for i in range(50)]
+    index = search.build_index(spark.createDataFrame(rows, "id long, title string"), ["title"])
+    for buckets in (1, 16):
+        path = str(tmp_path / f"index{buckets}")
+        search.write_index(index, path, buckets=buckets, slices=2)
+        read = search.read_index(spark, path)
+        assert search.search_index(read, "alpha", {"title": 1.0}).count() == 50
+        assert {r["id"] for r in search.search_index(read, "w17 w49", {"title": 1.0}).collect()} == {17, 49}

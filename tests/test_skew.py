@@ -26,3 +26,11 @@ def test_boolean_laws(spark):
     assert ids("NOT (chicken OR garlic)") == ids("NOT chicken AND NOT garlic") == {3}
     assert ids("NOT chicken AND garlic OR chicken AND NOT garlic") == {1, 2}
     assert split_list("chicken, garlic; x|y\n") == ["chicken", "garlic", "x", "y"]
+
+
+def test_slices_follow_the_count(spark):
+    from larder.operators.skew import hot_keys
+
+    df = spark.range(10_000).select(F.when(F.col("id") < 5000, "a").when(F.col("id") < 5200, "b").otherwise(F.col("id").cast("string")).alias("k"))
+    hot = spark.range(1).select(hot_keys(df, "k").alias("m")).first()["m"]
+    assert hot == {"a": 400, "b": 16}
