@@ -37,6 +37,14 @@ class HashingEncoder:
         return out / np.where(norms == 0, 1, norms)
 
 
+class LetterEncoder:
+    """Counts of the letters a to z: an encoder whose vectors can be stated in SQL."""
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        data = [np.frombuffer((t or "").lower().encode("ascii", "ignore"), np.uint8) for t in texts]
+        return np.array([np.bincount(d, minlength=128)[97:123] for d in data], dtype=np.float32).reshape(-1, 26)
+
+
 def embed(
     df: DataFrame,
     text: str,

@@ -49,6 +49,27 @@ def nearest_to(vectors: DataFrame, own: Column, k: int, id: str = "id", vector:
     return nearest(vectors.where(~own), query, k, id, vector)
 
 
+def encode_query(vectors: DataFrame, text: str, encoder: Callable[[], object] = HashingEncoder) -> Column:
+    """The vector of a query text, as a one-row subquery; it goes through the same encoder as the stored texts."""
+    row = vectors.sparkSession.range(1).select(F.lit(text).alias("_text"))
+    return embed(row, "_text", encoder).select("embedding").scalar()
+
+
+def semantic_search(
+    vectors: DataFrame, text: str, k: int, encoder: Callable[[], object] = HashingEncoder, id: str = "id", vector: str = "embedding"
+) -> DataFrame:
+    """Exact top k for a query text."""
+    return nearest(vectors, encode_query(vectors, text, encoder), k, id, vector)
+
+
+def hybrid_search(
+    text_hits: DataFrame, vectors: DataFrame, text: str, size: int, k: int = 50, weight: float = 0.5,
+    encoder: Callable[[], object] = HashingEncoder, id: str = "id",
+) -> DataFrame:
+    """Ranked text hits (id, score) of a query text together with the k nearest vectors of the same text."""
+    return hybrid(text_hits, semantic_search(vectors, text, k, encoder, id), size, weight, id)
+
+
 def fit_hash_tables(vectors: DataFrame, bucket_length: float = 0.5, tables: int = 8, vector: str = "embedding"):
     """Locality-sensitive hash tables for `nearest_approx`, fitted once for a set of unit vectors."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -97,5 +118,6 @@ def hybrid(
 
 
 __all__ = [
-    "backfill", "dot", "fit_hash_tables", "hybrid", "nearest", "nearest_approx", "nearest_to", "vector_score",
+    "backfill", "dot", "encode_query", "fit_hash_tables", "hybrid", "hybrid_search", "nearest", "nearest_approx", "nearest_to",
+    "semantic_search", "vector_score",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder import lexicon
-from larder.functions.embedding import embed, embedding_text, parse_vector
+from larder.functions.embedding import LetterEncoder, embed, embedding_text, parse_vector
 from larder.operators import documents as doc
 from larder.operators import posts, search, vectors
 from larder.plans.corpus import bridge, lines, oracle, recipes, table
@@ -86,6 +86,22 @@ def v8(spark, sf_dir):
     return vectors.hybrid(text, near, 60)
 
 
+def _titles(spark, sf_dir):
+    titles = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.element_at(F.split("text", "\n"), 1).alias("title"))
+    return embed(titles, "title", LetterEncoder)
+
+
+def v5_text(spark, sf_dir):
+    """From a query text to the nearest titles."""
+    return vectors.semantic_search(_titles(spark, sf_dir), QUERY, 20, LetterEncoder).select("id", "score")
+
+
+def v8_text(spark, sf_dir):
+    """One query text for both halves of the ranking."""
+    hits = search.search_all(docs(spark, sf_dir), QUERY, search.TEXT_BOOSTS)
+    return vectors.hybrid_search(hits, _titles(spark, sf_dir), QUERY, 60, encoder=LetterEncoder)
+
+
 # --- documents ---------------------------------------------------------------------------------------------
 def _doc_lines(spark, sf_dir):
     b = bridge(spark, sf_dir)
@@ -168,6 +184,16 @@ def p4(spark, sf_dir):
 _COS = "round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST({} AS DOUBLE[])), 6)"
 _V7 = "(SELECT embedding FROM embeddings WHERE vec_id = 7)"
 
+# counts of letters, scaled to unit length in single precision as the encoder does
+_LETTERS = "[" + ", ".join(f"(length(t) - length(replace(t, '{chr(c)}', '')))::FLOAT" for c in range(97, 123)) + "]"
+_UNIT = "list_transform({0}, lambda x: (x / CAST(sqrt(list_sum(list_transform({0}, lambda y: y::DOUBLE * y))) AS FLOAT))::DOUBLE)"
+_TITLE_NEAR = f"""
+letters AS (SELECT id, {_LETTERS} AS v FROM (
+  SELECT doc_id AS id, lower(string_split(text, chr(10))[1]) AS t FROM documents UNION ALL SELECT NULL, lower('{QUERY}'))),
+units AS (SELECT id, {_UNIT.format('v')} AS u FROM letters),
+near AS (SELECT id, round(list_cosine_similarity(u, (SELECT u FROM units WHERE id IS NULL)), 6) AS sim FROM units WHERE id IS NOT NULL
+  AND list_sum(u) > 0)"""
+
 _DOC_CTES = f"""
 doc_lines AS (
   SELECT recipe_id, order_index, name AS n, quantity, line_tie, unit, notes,
@@ -249,6 +275,14 @@ ENTRIES = {
             SELECT id, round(coalesce(score, 0) + 0.5 * coalesce((1 + sim) / 2, 0), 6) AS score
             FROM scores FULL OUTER JOIN near USING (id) ORDER BY score DESC, id LIMIT 60""",
     ),
+    "V5_query_text": (v5_text, f"WITH {_TITLE_NEAR} SELECT id, sim AS score FROM near ORDER BY score DESC, id LIMIT 20"),
+    "V8_query_text": (
+        v8_text,
+        _scores(QUERY, search.TEXT_BOOSTS)
+        + f""", {_TITLE_NEAR}, best AS (SELECT * FROM near ORDER BY sim DESC, id LIMIT 50)
+            SELECT id, round(coalesce(score, 0) + 0.5 * coalesce((1 + sim) / 2, 0), 6) AS score
+            FROM scores FULL OUTER JOIN best USING (id) ORDER BY score DESC, id LIMIT 60""",
+    ),
     "D1_build_documents": (
         d1,
         oracle(
