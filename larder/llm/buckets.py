@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import map_arrow, texts_of
 
-POSTINGS = 4_000_000  # in a bucket, about 100 MB in a task
+POSTINGS = 2_000_000  # in a bucket, about 150 MB in a task
 LEAST_BUCKETS = 64
 _FLUSH = 2_000_000
 

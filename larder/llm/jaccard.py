@@ -7,8 +7,8 @@
 3. Two sets that are similar share one of the first shingles in that order (the prefix).  A tile is such a shingle
    with a band of set sizes.  In a tile the bits of two signatures that differ bound the overlap from above; what is
    left is decided by intersecting the arrays.
-4. Tiles whose members are one component already have nothing to find.  A first round of links to the smallest member
-   of each min-hash group therefore comes before; large groups of near copies end in it.
+4. Tiles whose members are one component already have nothing to find.  A few rounds of links to one member of each
+   min-hash group therefore come before; large groups of near copies end in them.
 """
 
 from __future__ import annotations
@@ -19,25 +19,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.llm.buckets import how_many, mixed, shared_hashes
 from larder.llm.common import cut, map_arrow, table, texts_of, with_row
 from larder.llm.graph import components
 
 WORDS = 5
 PERCENT = 75
-POSTINGS = 4_000_000  # in a bucket, about 100 MB in a task
-LEAST_BUCKETS = 64
 SIGNATURE = 1024  # bits
 TILE = 1024  # members of a side of a tile
-HASHES = 4
+HASHES = 16  # min-hash orders
+ROUNDS = 4  # of links within min-hash groups, before tiles
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class _Hashes(dict):
     """64-bit hashes of words; forgets all when it has met very many."""
 
@@ -62,7 +56,7 @@ def shingles(text: str, width: int = WORDS) -> np.ndarray:
     total = np.full(n - taken + 1, taken, np.uint64)
     for i in range(taken):
         total += ids[i : n - taken + 1 + i] * _MULTIPLIERS[i % 5] + np.uint64(i // 5)
-    return np.unique(_mixed(total))
+    return np.unique(mixed(total))
 
 
 def _key(hashes: np.ndarray) -> bytes:
@@ -74,92 +68,6 @@ def _least_shared(n: Column) -> Column:
     return F.ceil(n * PERCENT / 100)
 
 
-def _packed(sorted_hashes: np.ndarray) -> bytes:
-    """Sorted integers as differences, byte plane by byte plane: the high planes are zeros, which compress."""
-    steps = np.diff(sorted_hashes, prepend=np.uint64(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
-def _postings(docs: DataFrame, n_buckets: int) -> DataFrame:
-    """bucket, hashes, owners, keys: of each batch and bucket the sorted hashes and whose they are."""
-
-    def of(batch: pa.RecordBatch):
-        seen: dict[bytes, int] = {}
-        sets: list[np.ndarray] = []
-        size = 0
-
-        def rows() -> dict:
-            hashes = np.concatenate(sets)
-            owners = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
-            order = np.argsort(hashes)
-            hashes, owners = hashes[order], owners[order]
-            buckets = ((hashes >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
-            edges = np.searchsorted(buckets, np.arange(n_buckets + 1, dtype=np.uint64))
-            keys = np.frombuffer(b"".join(seen), np.uint8).reshape(-1, 16)
-            out: dict[str, list] = {"bucket": [], "hashes": [], "owners": [], "keys": []}
-            for b in np.flatnonzero(np.diff(edges)):
-                low, high = edges[b], edges[b + 1]
-                own, places = np.unique(owners[low:high], return_inverse=True)
-                out["bucket"].append(int(b)), out["hashes"].append(_packed(hashes[low:high]))
-                out["owners"].append(places.astype("<u2" if len(own) < 65536 else "<u4").tobytes())
-                out["keys"].append(keys[own].tobytes())
-            return out
-
-        for text in texts_of(batch):
-            made = shingles(text)
-            if len(made) and (key := _key(made)) not in seen:
-                seen[key] = len(sets)
-                sets.append(made)
-                size += len(made)
-                if size > 2_000_000:
-                    yield rows()
-                    seen, sets, size = {}, [], 0
-        if sets:
-            yield rows()
-
-    return map_arrow(docs.select("text"), "bucket int, hashes binary, owners binary, keys binary", of)
-
-
-def _shared(group: pa.Table) -> pa.Table:
-    """Of one bucket: for each class its hashes that another class has too, with the number of classes."""
-    hashes, owners, keys, at = [], [], [], 0
-    for h, o, k in zip(group.column("hashes").to_pylist(), group.column("owners").to_pylist(), group.column("keys").to_pylist()):
-        own = np.frombuffer(k, np.dtype("V16"))
-        values = _unpacked(h)
-        hashes.append(values)
-        owners.append(np.frombuffer(o, "<u2" if len(o) == 2 * len(values) else "<u4").astype(np.int64) + at)
-        keys.append(own)
-        at += len(own)
-    names, classes = np.unique(np.concatenate(keys), return_inverse=True)
-    h, c = np.concatenate(hashes), classes.ravel()[np.concatenate(owners)]
-    order = np.lexsort((c, h))
-    h, c = h[order], c[order]
-    new = np.ones(len(h), bool)  # a class that several batches sent counts once
-    new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-    h, c = h[new], c[new]
-    starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    counts = np.diff(np.r_[starts, len(h)])
-    df = np.repeat(counts, counts)
-    h, c, df = h[df > 1], c[df > 1], df[df > 1].astype("<u4")
-    order = np.argsort(c, kind="stable")
-    h, c, df = h[order], c[order], df[order]
-    starts = np.flatnonzero(np.r_[len(c) > 0, c[1:] != c[:-1]]) if len(c) else np.empty(0, int)
-    ends = np.r_[starts[1:], len(c)].astype(int) if len(starts) else starts
-    return pa.table(
-        {
-            "key": pa.array([names[c[a]].tobytes() for a in starts], pa.binary()),
-            "shared": pa.array((ends - starts).astype("int64"), pa.int64()),
-            "hashes": pa.array([h[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-            "counts": pa.array([df[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-        }
-    )
-
-
 def _signature(hashes: np.ndarray) -> bytes:
     bits = np.zeros(SIGNATURE, np.uint8)
     bits[(hashes % np.uint64(SIGNATURE)).astype(int)] = 1
@@ -168,7 +76,7 @@ def _signature(hashes: np.ndarray) -> bytes:
 
 def _sets(parts: DataFrame) -> DataFrame:
     """key, n, parts -> key, n, hashes (rarest first, as bytes), n_hashes, signature, minima (of a few orders)."""
-    seeds = _mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * _MULTIPLIERS[0])
+    seeds = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * _MULTIPLIERS[0])
 
     def of(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"key": batch.column("key"), "n": batch.column("n"), "hashes": [], "n_hashes": [], "signature": [], "minima": []}
@@ -177,12 +85,26 @@ def _sets(parts: DataFrame) -> DataFrame:
             df = np.frombuffer(b"".join(p["counts"] for p in parts), "<u4")
             h = h[np.lexsort((h, df))]
             out["hashes"].append(h.tobytes()), out["n_hashes"].append(len(h)), out["signature"].append(_signature(h))
-            out["minima"].append([int(_mixed(h ^ s).min().view(np.int64)) for s in seeds])
+            out["minima"].append([int(mixed(h ^ s).min().view(np.int64)) for s in seeds])
         return out
 
     return map_arrow(parts, "key binary, n long, hashes binary, n_hashes long, signature binary, minima array<long>", of)
 
 
+def _stars(groups: DataFrame, sets: DataFrame, labels: DataFrame | None, order: Column) -> DataFrame:
+    """Pairs (a, b) of each set and the first, by `order`, of each of its min-hash groups, where signatures allow a
+    link; given labels, only pairs of different components."""
+    leaders = groups.groupBy("nth", "value").agg(F.min_by("cid", order).alias("lead"), F.count(F.lit(1)).alias("k"))
+    leaders = cut(leaders.where("k > 1").drop("k"), "leaders")
+    near = groups.join(leaders, ["nth", "value"]).where("cid <> lead")
+    if labels is not None:
+        of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+        near = near.join(of("cid"), "cid", "left").join(of("lead"), "lead", "left")
+        near = near.where(F.coalesce("c_cid", "cid") != F.coalesce("c_lead", "lead"))
+    pairs = near.select(F.least("lead", "cid").alias("a"), F.greatest("lead", "cid").alias("b")).distinct()
+    return cut(_bounded(pairs, sets), "pairs")
+
+
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow enough overlap.  Moves signatures, not sets."""
     side = lambda x: sets.select(
@@ -344,11 +266,8 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """
     rows, kinds = classes(docs, doc_id, text)
     total = kinds.agg(F.sum("n")).first()[0] or 0
-    n_buckets = max(LEAST_BUCKETS, -(-total // POSTINGS))
-    posted = _postings(docs.select(F.col(f"`{text}`").alias("text")), n_buckets)
-    shared = cut(
-        posted.groupBy("bucket").applyInArrow(_shared, "key binary, shared long, hashes binary, counts binary"), "shared"
-    )
+    texts = docs.select(F.col(f"`{text}`").alias("text"))
+    shared = cut(shared_hashes(texts, shingles, lambda _, made: _key(made), how_many(total)), "shared")
     enough = (
         shared.groupBy("key").agg(F.sum("shared").alias("shared")).join(kinds, "key").where(F.col("shared") >= _least_shared(F.col("n")))
     )
@@ -358,14 +277,17 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
     sets = cut(_sets(parts).withColumn("cid", F.monotonically_increasing_id()), "sets")
 
-    # first round: each set with the smallest of its min-hash groups
-    groups = sets.select("cid", F.posexplode("minima").alias("nth", "value"))
-    leaders = cut(groups.groupBy("nth", "value").agg(F.min("cid").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k"), "leaders")
-    near = groups.join(leaders, ["nth", "value"]).where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
-    links = cut(_verified(cut(_bounded(near, sets), "pairs"), sets), "links")
-    labels = components(links)
-
-    # second round: what is left between components
+    # each set with one member of each of its min-hash groups: first the same member for all, then, where components
+    # still differ, another one for each order
+    groups = cut(sets.select("cid", F.posexplode("minima").alias("nth", "value")), "groups")
+    links, labels = None, None
+    for n in range(ROUNDS):
+        order = F.xxhash64("cid", "nth", F.lit(n)) if n else F.col("cid")
+        made = cut(_verified(_stars(groups, sets, labels, order), sets), "links")
+        links = made if links is None else links.union(made)
+        labels = components(links)
+
+    # what is left between components
     more = cut(_verified(cut(_tiles(sets, labels), "pairs"), sets), "links")
     labels = components(links.union(more))
 
