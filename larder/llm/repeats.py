@@ -276,8 +276,9 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     per_class = anchored.groupBy("key").agg(F.collect_list("hashes").alias("parts"))
     wanted = kinds.join(per_class, "key").select("key", "first", F.array_join(F.transform("parts", F.hex), "").alias("parts"))
     wanted = cut(wanted.select("key", F.col("first").alias("doc_id"), F.unhex("parts").alias("shared")), "anchored-classes")
-    # key and id together: one text that very many rows have meets its class in one row only
-    members = rows.where(long_enough).join(wanted, ["key", "doc_id"]).dropDuplicates(["key", "doc_id"])
+    # key and id together: one text that very many rows have meets its class in one row only (or in the rows that
+    # repeat it with its id, which are judged alike)
+    members = rows.where(long_enough).join(wanted, ["key", "doc_id"])
     members = cut(members.withColumn("class", F.monotonically_increasing_id()), "members")
     shared = members.agg(F.sum(F.length("shared"))).first()[0] or 0
     n_buckets = max(LEAST_BUCKETS, -(-shared // 8 * 80 // _BUCKET_BYTES))
@@ -285,7 +286,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     lost = cut(sent.groupBy("bucket").applyInArrow(_owned, "class long, start long, end long"), "lost")
     found = lost.groupBy("class").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     kept = _kept(members.select("class", "key", "text").join(found, "class").select("key", "text", "found"))
-    verdict = cut(kinds.join(kept, "key", "left").select("key", "first", "spans", "kept_sha256"), "verdicts")
+    verdict = cut(kinds.join(kept.dropDuplicates(["key"]), "key", "left").select("key", "first", "spans", "kept_sha256"), "verdicts")
 
     whole = F.col("doc_id") > F.col("first")  # an equal text has a smaller id
     own = F.col("doc_id") == F.col("first")
