@@ -5,6 +5,7 @@ Every 50-byte window has an anchor, the smallest of its hashed 16-byte pieces; e
 1. Equal texts are one class, known by its smallest id; larger ids of a class lose all their bytes.
 2. Anchors are counted over classes; one that a single class has leads to no match.
 3. Runs of windows whose anchor is shared go, with their bytes, to a bucket of the anchor's hash.
+   (Windows of an anchor that more than 20,000 classes share are grouped by their own digests instead.)
 4. In a bucket the windows are sorted by two-stage suffix sorting: windows smaller than their successor directly, the
    others by scanning the buckets of first bytes.  Neighbours with a common prefix of 50 are the same string; its
    smallest id owns it.
@@ -27,6 +28,7 @@ PIECE = 16
 _STRETCH = 1 << 19  # windows looked at together
 _BUCKET_BYTES = 4 << 20
 _FLUSH = 16 << 20
+HOT = 20_000  # classes that share an anchor, above which its windows are grouped one by one
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _LOW = np.uint64((1 << 20) - 1)
 _PAD = b"\xff" * SPAN  # no byte of UTF-8: larger than all
@@ -197,6 +199,45 @@ def _owned(group: pa.Table) -> pa.Table:
     )
 
 
+def _wanted(classes: DataFrame, hot: int) -> DataFrame:
+    """key, doc_id, and the shared anchors of a class as bytes, those of more than `hot` classes apart."""
+
+    def of(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {"key": batch.column("key"), "doc_id": batch.column("doc_id"), "shared": [], "hot": []}
+        for parts in batch.column("parts").to_pylist():
+            hashes = np.frombuffer(b"".join(p["hashes"] for p in parts), np.uint64)
+            many = np.frombuffer(b"".join(p["counts"] for p in parts), "<u4") > hot
+            out["shared"].append(hashes[~many].tobytes()), out["hot"].append(hashes[many].tobytes())
+        return out
+
+    return map_arrow(classes, "key binary, doc_id long, shared binary, hot binary", of)
+
+
+def _lost_hot(members: DataFrame) -> DataFrame:
+    """(class, start, end) of windows with a very common anchor that a smaller id owns.
+
+    Such windows do not meet in a bucket: they are grouped by their own digests, least ids first within tasks.
+    """
+
+    def of(batch: pa.RecordBatch):
+        out: dict[str, list] = {"digest": [], "class": [], "doc_id": [], "start": []}
+        for owner, doc, hot, text in zip(*(batch.column(c).to_pylist() for c in ("class", "doc_id", "hot")), texts_of(batch)):
+            data = _bytes(text)
+            for at in np.flatnonzero(np.isin(anchors(data), np.frombuffer(hot, np.uint64))).tolist():
+                out["digest"].append(hashlib.blake2b(data[at : at + SPAN], digest_size=16).digest())
+                out["class"].append(owner), out["doc_id"].append(doc), out["start"].append(at)
+            if len(out["start"]) > 100_000:
+                yield out
+                out = {c: [] for c in out}
+        yield out
+
+    windows = cut(map_arrow(members, "digest binary, class long, doc_id long, start long", of), "hot-windows")
+    owners = cut(windows.groupBy("digest").agg(F.min("doc_id").alias("least")), "hot-owners")
+    # both are plain scans, so that a window of very many documents can be split between tasks
+    lost = windows.join(owners, "digest").where(F.col("doc_id") > F.col("least"))
+    return lost.select("class", "start", (F.col("start") + SPAN).alias("end"))
+
+
 def _sent(members: DataFrame, n_buckets: int) -> DataFrame:
     """Runs of windows with shared anchors, packed by batch and bucket."""
     names = ["data", "sizes", "real", "first", "class", "ids"]
@@ -273,9 +314,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     total = kinds.agg(F.sum("n")).first()[0] or 0
     # one piece in 18 is an anchor
     anchored = cut(shared_hashes(rows.where(long_enough).select("text"), _anchor_set, _text_key, how_many(total // 18)), "anchors")
-    per_class = anchored.groupBy("key").agg(F.collect_list("hashes").alias("parts"))
-    wanted = kinds.join(per_class, "key").select("key", "first", F.array_join(F.transform("parts", F.hex), "").alias("parts"))
-    wanted = cut(wanted.select("key", F.col("first").alias("doc_id"), F.unhex("parts").alias("shared")), "anchored-classes")
+    per_class = anchored.groupBy("key").agg(F.collect_list(F.struct("hashes", "counts")).alias("parts"))
+    wanted = cut(_wanted(kinds.join(per_class, "key").select("key", F.col("first").alias("doc_id"), "parts"), HOT), "anchored-classes")
     # key and id together: one text that very many rows have meets its class in one row only (or in the rows that
     # repeat it with its id, which are judged alike)
     members = rows.where(long_enough).join(wanted, ["key", "doc_id"])
@@ -284,6 +324,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     n_buckets = max(LEAST_BUCKETS, -(-shared // 8 * 80 // _BUCKET_BYTES))
     sent = _sent(members.select("class", "doc_id", "shared", "text"), n_buckets)
     lost = cut(sent.groupBy("bucket").applyInArrow(_owned, "class long, start long, end long"), "lost")
+    lost = lost.unionByName(_lost_hot(members.where(F.length("hot") > 0)))
     found = lost.groupBy("class").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     kept = _kept(members.select("class", "key", "text").join(found, "class").select("key", "text", "found"))
     verdict = cut(kinds.join(kept.dropDuplicates(["key"]), "key", "left").select("key", "first", "spans", "kept_sha256"), "verdicts")

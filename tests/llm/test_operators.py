@@ -230,7 +230,9 @@ def test_jaccard_tiles(spark, monkeypatch):
     assert sorted(got) == sorted(cases.components(rows))
 
 
-def test_repeats(docs, empty, pairs):
+@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+def test_repeats(docs, empty, pairs, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
     got = [
         (r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) for r in repeats.repeats(docs).collect()
     ]
