@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from larder.llm import decontaminate, jaccard, packing, pii, quality, repeats, rules, secrets, token_files, warc
+from larder.llm import decontaminate, jaccard, oracles, packing, pii, quality, repeats, rules, secrets, token_files, warc
 from larder.session import tune
 
 
@@ -30,4 +30,9 @@ QUERIES = {
         pii.op10_pii,
     )
 } | {"pipeline": _tuned(corpus_pipeline.run)}
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": oracles.DECONTAMINATION,
+    "op5_quality_rules": oracles.QUALITY_RULES,
+    "op6_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op8_warc": oracles.WARC,
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

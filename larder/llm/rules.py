@@ -124,5 +124,6 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, host_rate."""
     return verdicts(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("host_rate", 6).alias("host_rate"),
     )
