@@ -201,13 +201,22 @@ def _tiles(sets: DataFrame, labels: DataFrame) -> DataFrame:
         yield out
 
     members = cut(map_arrow(labelled, "token long, band int, cid long, component long", prefixes), "members")
-    per_component = members.groupBy("token", "band", "component").agg(F.count(F.lit(1)).alias("k"))
-    tiles = cut(
+    marks = [F.xxhash64("cid").alias("x"), F.xxhash64("cid", F.lit(1)).alias("y")]
+    per_component = members.select("token", "band", "component", *marks).groupBy("token", "band", "component").agg(
+        F.count(F.lit(1)).alias("k"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")
+    )
+    tiles = (
         per_component.groupBy("token", "band")
-        .agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.max("k").alias("n_main"), F.sum("k").alias("n_all"), F.count(F.lit(1)).alias("n_comp"))
-        .where("n_comp > 1"),
-        "tiles",
+        .agg(
+            F.max_by("component", F.struct("k", "component")).alias("main"), F.max("k").alias("n_main"), F.sum("k").alias("n_all"),
+            F.count(F.lit(1)).alias("n_comp"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"),
+        )
+        .where("n_comp > 1")
+        # tiles with the same members find the same pairs: one of them is enough
+        .groupBy("band", "n_all", "x", "y")
+        .agg(F.min(F.struct("token", "main", "n_main")).alias("t"))
     )
+    tiles = cut(tiles.select("t.*", "band", "n_all"), "tiles")
     blocks = lambda k: F.ceil(k / TILE).cast("int")
     n_rest = F.col("n_all") - F.col("n_main")
     main, small = F.col("component") == F.col("main"), F.col("n_all") <= TILE
