@@ -13,11 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import map_arrow, texts_of
+from larder.llm.common import map_arrow, map_groups, texts_of
 
 POSTINGS = 2_000_000  # in a bucket, about 150 MB in a task
 LEAST_BUCKETS = 64
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -122,4 +122,4 @@ def shared_hashes(
             yield _rows(keys, sets, n_buckets)
 
     posted = map_arrow(texts.select(F.col("text")), "bucket int, hashes binary, owners binary, keys binary", of)
-    return posted.groupBy("bucket").applyInArrow(_shared, "key binary, shared long, hashes binary, counts binary")
+    return map_groups(posted, ["bucket"], "key binary, shared long, hashes binary, counts binary", _shared)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -14,6 +15,8 @@ from pyspark.sql.types import StructType
 
 from larder.session import shared_folder
 
+# texts are long: few of them in a batch keep workers small
+_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -57,10 +60,23 @@ def with_row(df: DataFrame, row: str = "_row") -> DataFrame:
     return df.withColumn(row, F.monotonically_increasing_id())
 
 
+def give_back() -> None:
+    """Return memory that is free but kept by the allocators; idle workers stay small beside busy ones."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        pass
+
+
 def map_arrow(
     df: DataFrame, schema: StructType | str, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict]
 ) -> DataFrame:
-    """`mapInArrow` with a function that turns a batch into one or several dicts of columns."""
+    """`mapInArrow` with a function that turns a batch into one or several dicts of columns.
+
+    Batches hold 1,000 rows (a session setting that is made here), and workers give freed memory back after each.
+    """
+    df.sparkSession.conf.set(*_BATCH)
     spark_schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     target = to_arrow_schema(spark_schema)
 
@@ -69,10 +85,26 @@ def map_arrow(
             made = fn(batch)
             for columns in [made] if isinstance(made, dict) else made:
                 yield pa.RecordBatch.from_pydict(columns, schema=target)
+            del batch, made
+            give_back()
 
     return df.mapInArrow(run, spark_schema)
 
 
+def map_groups(
+    df: DataFrame, by: list[str], schema: str, fn: Callable[[pa.Table], pa.Table]
+) -> DataFrame:
+    """`applyInArrow` by group; workers give freed memory back after each."""
+
+    def run(group: pa.Table) -> pa.Table:
+        made = fn(group)
+        del group
+        give_back()
+        return made
+
+    return df.groupBy(*by).applyInArrow(run, schema)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null is empty."""
     return [t if t is not None else "" for t in batch.column(name).to_pylist()]

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.buckets import LEAST_BUCKETS, bucket_of, how_many, mixed, shared_hashes
-from larder.llm.common import cut, map_arrow, table, texts_of
+from larder.llm.common import cut, map_arrow, map_groups, table, texts_of
 
 SPAN = 50
 PIECE = 16
 _STRETCH = 1 << 19  # windows looked at together
-_BUCKET_BYTES = 4 << 20
-_FLUSH = 16 << 20
+_BUCKET_BYTES = 512 << 10  # sorting takes about a hundred times that
+_FLUSH = 4 << 20
 HOT = 20_000  # classes that share an anchor, above which its windows are grouped one by one
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _LOW = np.uint64((1 << 20) - 1)
@@ -60,7 +60,8 @@ def anchors(data: bytes) -> np.ndarray:
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         count = len(keys) - width + 1
         least = np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
-        made.append(hashes[(least & _LOW).astype(np.int64)])
+        # least hashes lie low: mixed once more, they spread evenly over the buckets
+        made.append(mixed(hashes[(least & _LOW).astype(np.int64)]))
     return np.concatenate(made) if made else np.empty(0, np.uint64)
 
 
@@ -114,12 +115,11 @@ def two_stage(data: np.ndarray, starts: np.ndarray, begins: np.ndarray, words: n
     """
     # a window and its successor first differ where the text first steps up or down
     inner = np.flatnonzero(~np.r_[begins[1:], True])
-    up = np.ones(len(starts), bool)
     bytes_ = data[starts]
     step = np.zeros(len(starts), np.int8)
     step[inner] = np.sign(bytes_[inner + 1].astype(np.int16) - bytes_[inner])
     step[np.r_[begins[1:], True]] = 1  # the last of a run
-    known = np.where(step != 0, np.arange(len(step)), len(step))
+    known = np.where(step != 0, np.arange(len(step), dtype=np.int32), np.int32(len(step)))
     up = step[np.minimum.accumulate(known[::-1])[::-1]] > 0
 
     direct = np.flatnonzero(up)
@@ -170,9 +170,9 @@ def _owned(group: pa.Table) -> pa.Table:
     owner, ids = column("class", "<i8"), column("ids", "<i8")
     base = np.cumsum(sizes, dtype=np.int64) - sizes
     windows = sizes - SPAN + 1
-    run = np.repeat(np.arange(len(sizes)), windows)
-    nth = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
-    starts = base[run] + nth
+    run = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
+    nth = np.arange(len(run), dtype=np.int32) - np.repeat(np.cumsum(windows, dtype=np.int32) - windows, windows)
+    starts = (base[run] + nth).astype(np.int32)
     values, words = np.frombuffer(data, np.uint8), _words(data)
     order = two_stage(values, starts, nth == 0, words)
     # the windows that only lead the sorting belong to no one
@@ -323,7 +323,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     shared = members.agg(F.sum(F.length("shared"))).first()[0] or 0
     n_buckets = max(LEAST_BUCKETS, -(-shared // 8 * 80 // _BUCKET_BYTES))
     sent = _sent(members.select("class", "doc_id", "shared", "text"), n_buckets)
-    lost = cut(sent.groupBy("bucket").applyInArrow(_owned, "class long, start long, end long"), "lost")
+    lost = cut(map_groups(sent, ["bucket"], "class long, start long, end long", _owned), "lost")
     lost = lost.unionByName(_lost_hot(members.where(F.length("hot") > 0)))
     found = lost.groupBy("class").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     kept = _kept(members.select("class", "key", "text").join(found, "class").select("key", "text", "found"))
