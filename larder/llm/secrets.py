@@ -16,7 +16,7 @@ from larder.llm.common import cut, table, with_row
 
 ASSIGN = (
     r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"""
-    r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=-]++"""
+    r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)"""
 )
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
@@ -34,8 +34,8 @@ MIN_ENTROPY = 2.5
 
 
 def _value(kind: str, match: Column) -> Column:
-    """What is secret in a match: of an assignment the right side."""
-    return F.regexp_extract(match, r"[A-Za-z0-9+/_.=-]+$", 0) if kind == "assign" else match
+    """What is secret in a match: of an assignment the right side, without key word and sign."""
+    return F.regexp_extract(match, ASSIGN, 1) if kind == "assign" else match
 
 
 def _entropy(value: Column) -> Column:

@@ -48,6 +48,20 @@ def test_secret_ownership(spark):
     assert got[0] == [] and [(s.kind, s.owners, s.live) for s in got[99]] == [("mixed", 1, True)]
 
 
+def test_secret_values(spark):
+    """Only the right side of an assignment has to be long, and it is what copies are counted by."""
+    value = "Zx9kQ7wB2rT5yU8iOp3aSdF6gHj"
+    texts = [
+        "token=abc", "password=x", "api_key=abcdefgh", "secret:'a=b'", "apikey==abcdefg", "PASSWD = =abc passwd=1234567",
+        f"token={value}", f"password={value}", f"secret: {value}",
+    ]
+    rows = [(i, t, f"owner{i}") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.found for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [[f"{s.kind}:{s.start}:{s.end}" for s in got[i]] for i in range(len(texts))] == [cases.secrets(t)[1] for t in texts]
+    assert [[(s.owners, s.live) for s in got[i]] for i in (6, 7, 8)] == [[(3, False)]] * 3
+    assert [s.hash for i in (6, 7, 8) for s in got[i]] == [cases.sha(value)] * 3
+
+
 def test_personal_data(docs, empty, pairs):
     got = [
         (r.doc_id, [f"{s.kind}:{s.start}:{s.end}" for s in r.pii if s.kind in pii.BASE_KINDS], [s.kind for s in r.pii if s.kind not in pii.BASE_KINDS])
