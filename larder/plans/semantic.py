@@ -102,6 +102,37 @@ def v8_text(spark, sf_dir):
     return vectors.hybrid_search(hits, _titles(spark, sf_dir), QUERY, 60, encoder=LetterEncoder)
 
 
+def _directed(embedded):
+    """Texts without any word or letter have a zero vector, which is near to nothing."""
+    return embedded.select("id", "embedding").where(F.exists("embedding", lambda x: x != 0))
+
+
+def _whole_texts(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return _directed(embed(d, "text", LetterEncoder))
+
+
+def v5_whole_text(spark, sf_dir):
+    """From a query text to the nearest whole documents."""
+    return vectors.semantic_search(_whole_texts(spark, sf_dir), QUERY, 20, LetterEncoder).select("id", "score")
+
+
+def v8_whole_text(spark, sf_dir):
+    """One query text for both halves of the ranking, over whole documents."""
+    hits = search.search_all(docs(spark, sf_dir), QUERY, search.TEXT_BOOSTS)
+    return vectors.hybrid_search(hits, _whole_texts(spark, sf_dir), QUERY, 60, encoder=LetterEncoder)
+
+
+def nearest_recipes(texts, query, k):
+    """The k recipes (id, text) nearest to a query text, by the default encoder."""
+    return vectors.semantic_search(_directed(embed(texts, "text")), query, k).select("id", "score")
+
+
+def v5_recipe_text(spark, sf_dir):
+    """From a query text to the nearest recipes by title and ingredient names."""
+    return nearest_recipes(_texts(spark, sf_dir), QUERY, 20)
+
+
 # --- documents ---------------------------------------------------------------------------------------------
 def _doc_lines(spark, sf_dir):
     b = bridge(spark, sf_dir)
@@ -194,6 +225,13 @@ units AS (SELECT id, {_UNIT.format('v')} AS u FROM letters),
 near AS (SELECT id, round(list_cosine_similarity(u, (SELECT u FROM units WHERE id IS NULL)), 6) AS sim FROM units WHERE id IS NOT NULL
   AND list_sum(u) > 0)"""
 
+_WHOLE_NEAR = f"""
+letters AS (SELECT id, {_LETTERS} AS v FROM (
+  SELECT doc_id AS id, lower(text) AS t FROM documents UNION ALL SELECT NULL, lower('{QUERY}'))),
+units AS (SELECT id, {_UNIT.format('v')} AS u FROM letters),
+near AS (SELECT id, round(list_cosine_similarity(u, (SELECT u FROM units WHERE id IS NULL)), 6) AS sim FROM units WHERE id IS NOT NULL
+  AND list_sum(u) > 0)"""
+
 _DOC_CTES = f"""
 doc_lines AS (
   SELECT recipe_id, order_index, name AS n, quantity, line_tie, unit, notes,
@@ -283,6 +321,16 @@ ENTRIES = {
             SELECT id, round(coalesce(score, 0) + 0.5 * coalesce((1 + sim) / 2, 0), 6) AS score
             FROM scores FULL OUTER JOIN best USING (id) ORDER BY score DESC, id LIMIT 60""",
     ),
+    "V5_whole_text": (v5_whole_text, f"WITH {_WHOLE_NEAR} SELECT id, sim AS score FROM near ORDER BY score DESC, id LIMIT 20"),
+    "V8_whole_text": (
+        v8_whole_text,
+        _scores(QUERY, search.TEXT_BOOSTS)
+        + f""", {_WHOLE_NEAR}, best AS (SELECT * FROM near ORDER BY sim DESC, id LIMIT 50)
+            SELECT id, round(coalesce(score, 0) + 0.5 * coalesce((1 + sim) / 2, 0), 6) AS score
+            FROM scores FULL OUTER JOIN best USING (id) ORDER BY score DESC, id LIMIT 60""",
+    ),
+    # the default encoder cannot be stated in SQL; a test holds the query against brute force
+    "V5_recipe_text": (v5_recipe_text, None),
     "D1_build_documents": (
         d1,
         oracle(
