@@ -1,7 +1,7 @@
 """Secret scan: patterns find candidates in each text, the whole corpus tells copied examples from live ones.
 
-A value that many owners have is an example that was copied around; a random-looking value of one owner looks
-live.  The scan is column expressions on the row.  What is shuffled are hashes of candidates, first as distinct
+A value that many owners or many repositories of one owner have is an example that was copied around; a
+random-looking value of few looks live.  The scan is column expressions on the row.  What is shuffled are hashes of candidates, first as distinct
 (hash, owner, repository), then as counts that tasks have summed before.
 """
 
@@ -30,6 +30,7 @@ ADDED = {
 }
 BASE_KINDS = ["assign", "access", "hex"]
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 10
 MIN_ENTROPY = 2.5
 
 
@@ -123,7 +124,7 @@ def secrets(
     """One row per document: the id, and `found` with the verdict of each candidate.
 
     `found` has (kind, start, end, hash, entropy, owners, repositories, live).  A value is live when at most two
-    owners have it and its characters carry 2.5 bits or more.  Base kinds stay whatever the verdict; added kinds
+    owners and ten repositories have it and its characters carry 2.5 bits or more.  Base kinds stay whatever the verdict; added kinds
     stay only when live.  Null ids stay null; repeated rows give repeated results; an empty table gives none.
     Repositories are counted within their owner.
     """
@@ -138,7 +139,8 @@ def secrets(
     stats = cut(ownership(each.select(F.col("s.hash").alias("hash"), "owner", "repository")), "secret-owners")
     # both sides are plain scans, so that a hash with very many rows can be split between tasks
     judged = each.select("_row", "pos", "s", F.col("s.hash").alias("hash")).join(stats, "hash", "left")
-    live = (F.col("owners") <= MAX_OWNERS) & (F.col("s.entropy") >= MIN_ENTROPY)
+    few = (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)
+    live = few & (F.col("s.entropy") >= MIN_ENTROPY)
     per_row = (
         judged.where(live | F.col("s.kind").isin(BASE_KINDS))
         .groupBy("_row")

@@ -62,6 +62,14 @@ def test_secret_values(spark):
     assert [s.hash for i in (6, 7, 8) for s in got[i]] == [cases.sha(value)] * 3
 
 
+def test_secret_in_many_repositories(spark):
+    copied, own = "Zx9kQ7wB2rT5yU8iOp3aSdF6gHj", "Qm4nV8cX1zL6kJ3hG9fD2sA7pOi"
+    rows = [(i, f"see {copied} there", "hot") for i in range(300)] + [(1000 + i, f"mine {own}", "hot") for i in range(2)]
+    got = {r.doc_id: r.found for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i] == [] for i in range(300))
+    assert [(s.kind, s.owners, s.repositories, s.live) for s in got[1000]] == [("mixed", 1, 2, True)]
+
+
 def test_personal_data(docs, empty, pairs):
     got = [
         (r.doc_id, [f"{s.kind}:{s.start}:{s.end}" for s in r.pii if s.kind in pii.BASE_KINDS], [s.kind for s in r.pii if s.kind not in pii.BASE_KINDS])
