@@ -15,13 +15,13 @@ INSTRUCTION_LINE_WORDS = ["mix", "stir", "cook", "bake", "fry", "boil", "heat",
 
 # --- title and description ------------------------------------------------
 TITLE_PATTERNS = [
-    r"(?dm)(?:^|\n)([A-Z][^.!?\n]{10,100})(?:\n|$)",
+    r"(?dm)(?:^|\n)([A-Z][^.!?\n]{10,})(?:\n|$)",
     r"(?dm)(?:Recipe:|Title:)\s*(.+?)(?:\n|$)",
     r"\*\*([^*]+)\*\*",
 ]
 DESCRIPTION_PATTERNS = [
     r"(?is)(?:Description:|About:)\s*(.+?)(?:\n\n|Ingredient|Direction|Method|Step)",
-    r"(?is)(?:^|\n)([^*\n]{50,200}?)(?:\n\n|\*\*Ingredient)",
+    r"(?is)(?:^|\n)([^*\n]{50,}?)(?:\n\n|\*\*Ingredient)",
 ]
 
 # --- times and pan size (all case-insensitive, first hit wins) -------------

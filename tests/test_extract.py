@@ -190,3 +190,14 @@ def test_custom_extractor(spark):
     df = spark.createDataFrame([("a", "flour")], "k string, comment string")
     row = extract_recipes(df, ["k"], extractor=extractor).first()
     assert [tuple(i) for i in row["ingredients"]] == [("flour", "to taste", None)] and row["mealType"] == "dessert"
+
+
+def test_long_title_and_opening(spark):
+    title = "Slow-" * 25 + "Sunday-Tomato-Pie"  # letters before a blank make an ingredient line
+    opening = "this sauce was handed down to us " * 9 + "and it is good"
+    post = f"{title}\n\nAnother-Shorter-Line\n\nIngredients:\n- 2 cups flour\n- 1 cup sugar\n\nInstructions:\n1. Mix it all in a large bowl"
+    told = f"{opening}\n\n{'a later paragraph of this post ' * 3}\n\n**Ingredients**\n- 2 cups flour\n"
+    df = spark.createDataFrame([(1, post), (2, told)], "k long, comment string")
+    got = {r.k: r for r in extract_recipes(df, ["k"]).collect()}
+    assert len(title) > 101 and got[1].title == title
+    assert len(opening) > 200 and got[2].description == opening
