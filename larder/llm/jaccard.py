@@ -266,13 +266,8 @@ def classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFra
     return rows, cut(grouped, "classes")
 
 
-def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: _row, doc_id, n_shingles, group (of the class), component_id.
-
-    component_id is the smallest doc_id that links reach, the document's own included.  Null and empty texts have no
-    shingles and are linked with nothing; their component is their own id.  Null ids are not the smallest of a
-    component; repeated rows are in one class.  `_row` numbers the rows in the order of the scan.
-    """
+def _survivors(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows and classes, and the sets of classes that share enough to have a link."""
     rows, kinds = classes(docs, doc_id, text)
     total = kinds.agg(F.sum("n")).first()[0] or 0
     texts = docs.select(F.col(f"`{text}`").alias("text"))
@@ -285,6 +280,17 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         shared.join(enough, "key").groupBy("key").agg(F.first("n").alias("n"), F.collect_list(F.struct("hashes", "counts")).alias("parts"))
     )
     sets = cut(_sets(parts).withColumn("cid", F.monotonically_increasing_id()), "sets")
+    return rows, kinds, sets
+
+
+def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: _row, doc_id, n_shingles, group (of the class), component_id.
+
+    component_id is the smallest doc_id that links reach, the document's own included.  Null and empty texts have no
+    shingles and are linked with nothing; their component is their own id.  Null ids are not the smallest of a
+    component; repeated rows are in one class.  `_row` numbers the rows in the order of the scan.
+    """
+    rows, kinds, sets = _survivors(docs, doc_id, text)
 
     # each set with one member of each of its min-hash groups: first the same member for all, then, where components
     # still differ, another one for each order
@@ -314,6 +320,20 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
 
 
+def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """key_a, doc_a, key_b, doc_b: every two different sets that are similar, once, each with its class (`key`, as in
+    `joined`) and the smallest doc_id of the class.  Rows with equal sets are one class and are not listed.
+
+    Every pair of tiles is verified, also within a component, so rows grow with the square of a group of near copies.
+    """
+    _, kinds, sets = _survivors(docs, doc_id, text)
+    none = sets.select(F.col("cid").alias("node"), F.col("cid").alias("component")).limit(0)
+    found = cut(_verified(cut(_tiles(sets, none), "pairs"), sets), "links")
+    named = sets.select("cid", "key").join(kinds.select("key", "first"), "key")
+    side = lambda x: named.select(F.col("cid").alias(x), F.col("key").alias(f"key_{x}"), F.col("first").alias(f"doc_{x}"))
+    return found.join(side("a"), "a").join(side("b"), "b").select("key_a", "doc_a", "key_b", "doc_b")
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     return joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -330,3 +330,16 @@ def test_quality_is_the_log_density_difference():
     x = rng.normal(size=(5, d))
     dens = {k: np.exp(-0.5 * np.einsum("ij,jk,ik->i", x - means[k], np.linalg.inv(covs[k]), x - means[k])) / np.sqrt(np.linalg.det(covs[k])) for k in (0, 1)}
     assert np.allclose(model.scores(x), 0.7 * dens[1] / (0.3 * dens[0] + 0.7 * dens[1]))
+
+
+def test_links_within_components(spark, docs, pairs):
+    """All similar pairs of different sets, also those that one component holds already."""
+    base = [f"w{i}" for i in range(80)]
+    near = [" ".join(base[:i * 8] + [f"x{i}"] + base[i * 8 + 1 :]) for i in range(1, 8)]
+    for df, rows in ((docs, pairs), (spark.createDataFrame(list(enumerate(near)), "doc_id long, text string"), list(enumerate(near)))):
+        sets = {frozenset(cases.shingles(t)) for _, t in rows} - {frozenset()}
+        least = {s: min(i for i, t in rows if i is not None and cases.shingles(t) == s) for s in sets}
+        want = {frozenset((least[a], least[b])) for a in sets for b in sets if a != b and 100 * len(a & b) >= 75 * len(a | b)}
+        got = [frozenset((r.doc_a, r.doc_b)) for r in jaccard.links(df).collect()]
+        assert want and len(got) == len(want) and set(got) == want
+    assert len(want) == 21
