@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from larder.session import shared_folder
 
 # texts are long: few of them in a batch keep workers small
-_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -69,28 +69,47 @@ def give_back() -> None:
         pass
 
 
-def map_arrow(
-    df: DataFrame, schema: StructType | str, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict]
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of the session hold at most 1,000 rows and about 4 MB."""
+    for key, value in _BATCH.items():
+        spark.conf.set(key, value)
+
+
+def map_stream(
+    df: DataFrame, schema: StructType | str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]
 ) -> DataFrame:
-    """`mapInArrow` with a function that turns a batch into one or several dicts of columns.
+    """`mapInArrow` with a function from the batches of a task to dicts of columns; workers give freed memory back.
 
-    Batches hold 1,000 rows (a session setting that is made here), and workers give freed memory back after each.
+    Batches are small (a session setting that is made here).
     """
-    df.sparkSession.conf.set(*_BATCH)
+    small_batches(df.sparkSession)
     spark_schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     target = to_arrow_schema(spark_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = fn(batch)
-            for columns in [made] if isinstance(made, dict) else made:
-                yield pa.RecordBatch.from_pydict(columns, schema=target)
-            del batch, made
+        for columns in fn(batches):
+            yield pa.RecordBatch.from_pydict(columns, schema=target)
+            del columns
             give_back()
 
     return df.mapInArrow(run, spark_schema)
 
 
+def map_arrow(
+    df: DataFrame, schema: StructType | str, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict]
+) -> DataFrame:
+    """`map_stream` with a function that turns one batch into one or several dicts of columns."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            made = fn(batch)
+            del batch
+            yield from [made] if isinstance(made, dict) else made
+            del made
+
+    return map_stream(df, schema, of)
+
+
 def map_groups(
     df: DataFrame, by: list[str], schema: str, fn: Callable[[pa.Table], pa.Table]
 ) -> DataFrame:

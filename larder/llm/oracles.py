@@ -68,3 +68,66 @@ SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
   CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM payloads
 """
+
+CHAT_FORMATTING = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, n, r, chr(92) || '### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+-- an escape for each backslash, each slash after a less-than sign, and each # after another; in roles for colons too
+sized AS (
+  SELECT *, len('### : </turn>' || chr(10)) + len(role || t) + len(role) - len(replace(role, ':', ''))
+    + list_sum(list_transform([role, t], lambda x: len(x) - len(replace(x, chr(92), '')) + (len(x) - len(replace(x, '</', ''))) // 2
+      + list_sum(list_prepend(0, list_transform(regexp_extract_all(x, '#+'), lambda y: len(y) - 1))))) AS n
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(len(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def _value(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_value, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+_LOWER_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# a bit at a time, from the lowest of each byte on
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i:
+  list_transform(range(0, 8), lambda b: (ascii(CAST(doc_id AS VARCHAR)[i]) >> b::INT) & 1)))), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf('text')} AS h, CASE WHEN coalesce({_CRC32} % 5 = 0, false) THEN {_leaf(_LOWER_TEXT)} ELSE {_leaf('text')} END AS tried
+  FROM documents),
+placed AS (
+  SELECT row_number() OVER () AS r, *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM leaves),
+nodes AS (
+  SELECT source, 0 AS lvl, i, n, h FROM placed
+  UNION ALL
+  SELECT source, lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY source, lvl, i // 16, n),
+tops AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n, lvl AS tall FROM nodes WHERE n = 1),
+crown AS (
+  SELECT 0 AS lvl, i, n, h FROM tops
+  UNION ALL
+  SELECT lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM crown WHERE n > 1 GROUP BY lvl, i // 16, n),
+others AS (
+  SELECT r, d.lvl, string_agg(d.h, '' ORDER BY d.i) FILTER (d.i < p.i // (16 ** d.lvl)::BIGINT) AS low, string_agg(d.h, '' ORDER BY d.i) FILTER (d.i > p.i // (16 ** d.lvl)::BIGINT) AS high
+  FROM placed p JOIN nodes d ON d.source IS NOT DISTINCT FROM p.source AND d.n > 1 AND d.i // 16 = p.i // (16 ** (d.lvl + 1))::BIGINT GROUP BY ALL
+  UNION ALL
+  SELECT r, tall + c.lvl, string_agg(c.h, '' ORDER BY c.i) FILTER (c.i < t.i // (16 ** c.lvl)::BIGINT), string_agg(c.h, '' ORDER BY c.i) FILTER (c.i > t.i // (16 ** c.lvl)::BIGINT)
+  FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source JOIN crown c ON c.n > 1 AND c.i // 16 = t.i // (16 ** (c.lvl + 1))::BIGINT GROUP BY ALL),
+steps AS (SELECT r, lvl, coalesce(low, '') AS low, coalesce(high, '') AS high FROM others),
+climb AS (
+  SELECT r, 0 AS lvl, tried AS h FROM placed
+  UNION ALL
+  SELECT c.r, c.lvl + 1, sha256(low || h || high) FROM climb c JOIN steps s ON s.r = c.r AND s.lvl = c.lvl),
+folded AS (SELECT r, arg_max(h, lvl) AS folded_root FROM climb GROUP BY r),
+proofs AS (SELECT r, sha256(string_agg(low || high, '' ORDER BY lvl)) AS proof FROM steps GROUP BY r)
+SELECT p.doc_id, p.h AS leaf, t.h AS subroot, c.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = c.h AS verified
+FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source JOIN crown c ON c.n = 1 JOIN folded USING (r) LEFT JOIN proofs USING (r)
+"""

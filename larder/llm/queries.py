@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-from larder.llm import decontaminate, jaccard, oracles, packing, pii, quality, repeats, rules, secrets, token_files, warc
+from larder.llm import (
+    alignment, chat, decontaminate, jaccard, merkle, oracles, packing, pii, quality, repeats, rules, secrets, token_files, warc,
+)
 from larder.session import tune
 
 
@@ -28,11 +29,16 @@ QUERIES = {
         warc.op8_warc,
         quality.op9_quality_classifier,
         pii.op10_pii,
+        chat.op11_chat_formatting,
+        merkle.op12_merkle_manifest,
+        alignment.op13_token_alignment,
     )
-} | {"pipeline": _tuned(corpus_pipeline.run)}
+}
 ORACLES: dict[str, str] = {
     "op2_decontamination": oracles.DECONTAMINATION,
     "op5_quality_rules": oracles.QUALITY_RULES,
     "op6_ngram_jaccard": oracles.NGRAM_JACCARD,
     "op8_warc": oracles.WARC,
-} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    "op11_chat_formatting": oracles.CHAT_FORMATTING,
+    "op12_merkle_manifest": oracles.MERKLE,
+}

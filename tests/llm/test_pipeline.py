@@ -12,7 +12,7 @@ from larder.llm.common import cut
 
 def test_registered():
     names = [n.split("_")[0] for n in entry.queries() if n.startswith("op")]
-    assert names == [f"op{n}" for n in range(1, 11)] and "pipeline" in entry.queries()
+    assert names == [f"op{n}" for n in range(1, 14)] and "pipeline" in entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "ngram_jaccard", "decontamination", "pii", "packing"]
 
 
