@@ -15,12 +15,13 @@ shuffled is far less than a row for each document and pair.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -55,6 +56,7 @@ class Encoder:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
+        self.a_ranks = _ranked(a_path)
         byte_of = {c: b for b, c in enumerate(_byte_letters())}
         names = self.a.get_vocab()
         self.a_bytes = [b""] * (max(names.values()) + 1)
@@ -74,15 +76,21 @@ class Encoder:
         self.young: dict[str, tuple[bytes, bytes] | None] = {}
         self.old: dict[str, tuple[bytes, bytes] | None] = {}
 
+    def _a_ids(self, parts: list[str]) -> list[list[int]]:
+        """Ids of blank + part.  Ranks are quicker for words, but take the square of the time for very long ones."""
+        if self.a_ranks and all(len(p) <= _LONGEST for p in parts):
+            code = self.a_ranks.encode_ordinary
+            return [code(" " + p) for p in parts]
+        return [x.ids for x in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+
     def _new(self, parts: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
         """Of blank + part: the tokens of both sides, or None where their bytes are not those of the text."""
         texts = [(" " + p).encode() for p in parts]
         sides = []
-        coded = [x.ids for x in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
         for ids, names, packed in (
-            (coded, self.a_bytes, self.a_packed), (self.b.encode(parts, num_threads=1), self.b_bytes, self.b_packed)
+            (self._a_ids(parts), self.a_bytes, self.a_packed), (self.b.encode(parts, num_threads=1), self.b_bytes, self.b_packed)
         ):
-            flat = [i for own in ids for i in own]
+            flat = list(chain.from_iterable(ids))
             after = list(accumulate(map(len, ids)))
             numbers = packed[flat]
             total = np.r_[0, np.cumsum(numbers >> 16)]
@@ -91,8 +99,13 @@ class Encoder:
             sides.append((numbers.tobytes(), after, same, names, ids))
         (a, a_after, a_same, *_), (b, b_after, b_same, *_) = sides
         p = q = 0
+        if a_same and b_same:
+            for x, y in zip(a_after, b_after):
+                yield a[4 * p : 4 * x], b[4 * q : 4 * y]
+                p, q = x, y
+            return
         for k, (x, y) in enumerate(zip(a_after, b_after)):
-            good = a_same and b_same or all(same or b"".join([names[i] for i in ids[k]]) == texts[k] for *_, same, names, ids in sides)
+            good = all(same or b"".join([names[i] for i in ids[k]]) == texts[k] for *_, same, names, ids in sides)
             yield (a[4 * p : 4 * x], b[4 * q : 4 * y]) if good else None
             p, q = x, y
 
@@ -104,19 +117,16 @@ class Encoder:
 
     def learn(self, texts: list[list[str] | None]) -> None:
         """Encode the units of some texts that the cache has not met."""
-        young, old = self.young, self.old
-        new = {}
-        for units in texts:
-            for part in units or ():
-                if part not in young:
-                    if part in old:
-                        young[part] = old[part]
-                    else:
-                        new[part] = None
-        parts = list(new)
+        missing = set().union(*[u for u in texts if u]).difference(self.young)
+        known = missing & self.old.keys()
+        self.young.update((p, self.old[p]) for p in known)
+        missing -= known
+        long = [p for p in missing if len(p) > _LONGEST]
+        parts = list(missing.difference(long))
         for at in range(0, len(parts), 4096):
             some = parts[at : at + 4096]
-            young.update(zip(some, self._new(some)))
+            self.young.update(zip(some, self._new(some)))
+        self.young.update(zip(long, self._new(long)))
 
     def forget(self) -> None:
         """Keep what the last texts had, when the cache is full; long units are never kept."""
@@ -129,14 +139,30 @@ class Encoder:
         `learn` has to come before.
         """
         if units is not None:
-            coded = [self.young[p] for p in units]
+            coded = list(map(self.young.__getitem__, units))
             if None not in coded:
-                parts = [coded[i : i + SEGMENT] for i in range(0, len(coded), SEGMENT)]
-                return [(b"".join([u[0] for u in p]), b"".join([u[1] for u in p])) for p in parts]
+                parts = [zip(*coded[i : i + SEGMENT]) for i in range(0, len(coded), SEGMENT)]
+                return [tuple(map(b"".join, sides)) for sides in parts]
         whole = next(self._new([text])) if text else None
         return [] if whole is None else [whole]
 
 
+def _ranked(path: str):
+    """The byte-level vocabulary of a file as ranks; None where its ids are not in the order of its merges."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        known = json.load(f)
+    model, cutter = known["model"], known["pre_tokenizer"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    if known["normalizer"] or cutter["type"] != "ByteLevel" or any(model["vocab"]["".join(m)] != 256 + n for n, m in enumerate(merges)):
+        return None
+    byte_of = {c: b for b, c in enumerate(_byte_letters())}
+    ranks = {bytes(byte_of[c] for c in name): i for name, i in model["vocab"].items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=1)
 def encoder(a_path: str, b_path: str) -> Encoder:
     """One encoder, and its cache, for each worker process."""
@@ -178,11 +204,13 @@ def aligned_segments(segments: list[tuple[bytes, bytes]]) -> Aligned:
     pairs.sort(kind="stable")  # two sorted runs
     pairs = pairs[np.diff(pairs, prepend=-1) != 0]
     pairs = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
-    cuts = a_end[pairs[:, 0]]
-    cuts = cuts[cuts == b_end[pairs[:, 1]]]
-    return Aligned(
-        a, b, a_segment, b_segment, a_end, b_end, np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end), pairs, len(cuts)
-    )
+    closing = pairs[a_end[pairs[:, 0]] == b_end[pairs[:, 1]]]
+    groups = []
+    for k, ids in enumerate((a, b)):
+        last = np.zeros(len(ids), np.int64)
+        last[closing[:, k]] = 1
+        groups.append(np.cumsum(last) - last)  # groups closed before
+    return Aligned(a, b, a_segment, b_segment, a_end, b_end, *groups, pairs, len(closing))
 
 
 def _linked(x: Aligned, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +251,9 @@ def _written(x: Aligned) -> tuple[list[bytes], np.ndarray]:
     """The tokens as text in the order of the groups, A before B; and the first of them for each segment."""
     more_a, last_a, more_b, last_b = _decimals()
     total = len(x.a) + len(x.b)
-    at_a = np.arange(len(x.a)) + np.searchsorted(x.b_group, x.a_group)
-    at_b = np.arange(len(x.b)) + np.searchsorted(x.a_group, x.b_group, "right")
+    upto_a, upto_b = np.cumsum(np.bincount(x.a_group)), np.cumsum(np.bincount(x.b_group))
+    at_a = np.arange(len(x.a)) + np.r_[0, upto_b][x.a_group]
+    at_b = np.arange(len(x.b)) + upto_a[x.b_group]
     ends_a, ends_b = np.diff(x.a_group, append=-1) != 0, np.diff(x.b_group, append=-1) != 0
     place = np.empty(total, np.int64)
     # one table of four parts
