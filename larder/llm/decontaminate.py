@@ -7,6 +7,7 @@ to the original text.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -78,16 +79,26 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, limit: int = BLOCK_CHA
         yield block
 
 
+_BUILT: dict[str, Windows] = {}  # of a worker process: the last automaton, by the digest of its items
+
+
+def _built(digest: str, items: list[tuple[object, str]], window: int) -> Windows:
+    if digest not in _BUILT:
+        _BUILT.clear()
+        _BUILT[digest] = Windows(items, window)
+    return _BUILT[digest]
+
+
 def _scanner(items: list[tuple[object, str]], window: int):
-    """A function from text to (n_words, runs of words, item ids); the automaton is built once in each task."""
-    made: list[Windows] = []
+    """A function from text to (n_words, runs of words, item ids); a worker process builds the automaton once, for all
+    its tasks."""
+    digest = hashlib.sha256(repr((items, window)).encode("utf-8", "surrogatepass")).hexdigest()
 
     def scan(text: str):
-        if not made:
-            made.append(Windows(items, window))
+        windows = _built(digest, items, window)
         words = words_of(text)
-        runs, found = made[0].scan(words)
-        return len(words), runs, [made[0].items[i] for i in sorted(found)]
+        runs, found = windows.scan(words)
+        return len(words), runs, [windows.items[i] for i in sorted(found)]
 
     return scan
 
@@ -146,7 +157,9 @@ def hits(
 
         return map_arrow(source, out_schema, of)
 
-    written = cut(with_row(source), "texts")
+    # the whole row in one column, so that its names cannot clash
+    boxed = source.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_in"), F.col(f"`{text}`").alias("_text"))
+    written = cut(with_row(boxed), "texts")
     parts = None
 
     def block_hits(block: list) -> DataFrame:
@@ -154,14 +167,14 @@ def hits(
 
         def of(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {"_row": [], "items": [], "runs": []}
-            for row, value in zip(batch.column("_row").to_pylist(), texts_of(batch, text)):
+            for row, value in zip(batch.column("_row").to_pylist(), texts_of(batch, "_text")):
                 _, runs, items = scan(value)
                 if runs:
                     out["_row"].append(row), out["items"].append(items)
                     out["runs"].append([{"first": a, "after": b} for a, b in runs])
             return out
 
-        return map_arrow(written.select("_row", F.col(f"`{text}`")), "_row long, " + found, of)
+        return map_arrow(written.select("_row", "_text"), "_row long, " + found, of)
 
     for block in (b for group in ([first, second], item_blocks) for b in group):
         made = cut(block_hits(block), "hits")
@@ -172,7 +185,7 @@ def hits(
 
     def merge(batch: pa.RecordBatch) -> dict:
         rows = []
-        for value, items, runs in zip(texts_of(batch, text), batch.column("_items").to_pylist(), batch.column("_runs").to_pylist()):
+        for value, items, runs in zip(texts_of(batch, "_text"), batch.column("_items").to_pylist(), batch.column("_runs").to_pylist()):
             merged: list[tuple[int, int]] = []
             for a, b in sorted((r["first"], r["after"]) for r in runs or []):
                 if merged and merged[-1][1] >= a:
@@ -180,10 +193,11 @@ def hits(
                 else:
                     merged.append((a, b))
             rows.append(finish(value, merged, len(words_of(value)), items or []))
-        columns = {c: batch.column(c) for c in keep}
-        return columns | {k: [r[k] for r in rows] for k in ("n_words", "n_hit", "items", "spans")}
+        return {"_in": batch.column("_in")} | {k: [r[k] for r in rows] for k in ("n_words", "n_hit", "items", "spans")}
 
-    return map_arrow(written.join(per_row, "_row", "left").drop("_row"), out_schema, merge)
+    joined = written.join(per_row, "_row", "left").drop("_row")
+    merged_schema = StructType(written.select("_in").schema.fields + StructType.fromDDL(added).fields)
+    return map_arrow(joined, merged_schema, merge).select("_in.*", "n_words", "n_hit", "items", "spans")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,54 +87,53 @@ def places(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, i
     return rows
 
 
-def numbered(written: DataFrame, length: str) -> DataFrame:
-    """Add `_nth`: the number of a piece, from 0, among those of its length.
+def numbered(written: DataFrame) -> DataFrame:
+    """Add `_nth`: the number of a piece, from 0, among those of its `_length`.
 
     One common length may be a third of all rows, so rows (with their task as `_slice` and their `_id`, written
     before) are numbered within slices and moved up by the sizes of the slices before.
     """
-    sizes = written.groupBy(length, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(length).orderBy("_slice")) - F.col("_n")
-    within = Window.partitionBy(length, "_slice").orderBy("_id")
+    sizes = written.groupBy("_length", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_length").orderBy("_slice")) - F.col("_n")
+    within = Window.partitionBy("_length", "_slice").orderBy("_id")
     return (
         written.withColumn("_rank", F.row_number().over(within) - 1)
-        .join(sizes.select(length, "_slice", before.alias("_before")), [length, "_slice"])
+        .join(sizes.select("_length", "_slice", before.alias("_before")), ["_length", "_slice"])
         .withColumn("_nth", F.col("_before") + F.col("_rank"))
-        .drop("_slice", "_id", "_before", "_rank")
     )
 
 
 def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """Add `sequence_id` and `offset` (long): sequences of at most `capacity`, gapless from 0.
 
-    Pieces need a length from 1 to `capacity`; null or other lengths raise.  Columns pass through.  An empty
-    table gives none.  The driver sees one row per length, so `capacity` rows at most.
+    Pieces need a length from 1 to `capacity`; null or other lengths raise.  Other columns pass through, whatever
+    their names; columns of the two names are replaced.  An empty table gives none.  The driver sees one row per
+    length, so `capacity` rows at most.
     """
     spark = pieces.sparkSession
-    bad = F.col(length).isNull() | (F.col(length) < 1) | (F.col(length) > capacity)
-    checked = pieces.withColumn(
-        length, F.when(bad, F.raise_error(F.lit("a length is not between 1 and the capacity"))).otherwise(F.col(length))
+    size = F.col(f"`{length}`")
+    bad = size.isNull() | (size < 1) | (size > capacity)
+    # the whole row in one column; a slice is the task that made it
+    boxed = pieces.select(
+        F.struct(*[F.col(f"`{c}`") for c in pieces.columns if c not in ("sequence_id", "offset")]).alias("_in"),
+        F.when(bad, F.raise_error(F.lit("a length is not between 1 and the capacity"))).otherwise(size).cast("int").alias("_length"),
+        F.spark_partition_id().alias("_slice"),
+        F.monotonically_increasing_id().alias("_id"),
     )
-    # a slice is the task that made a row
-    written = cut(
-        checked.withColumn("_slice", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()), "pieces"
-    )
-    counts = {r[0]: r[1] for r in written.groupBy(length).count().collect()}
+    written = cut(boxed, "pieces")
+    counts = {r[0]: r[1] for r in written.groupBy("_length").count().collect()}
     by_length: dict[int, list] = {}
     for x, *rest in places(counts, capacity):
         by_length.setdefault(x, []).append(tuple(rest))
-    plan_schema = (
-        f"`{length}` {pieces.schema[length].dataType.simpleString()}, "
-        "_plan array<struct<first:bigint,after:bigint,sequence:bigint,per_bin:int,offsets:array<int>>>"
-    )
+    plan_schema = "_length int, _plan array<struct<first:bigint,after:bigint,sequence:bigint,per_bin:int,offsets:array<int>>>"
     by_rows = spark.createDataFrame(list(by_length.items()), plan_schema)
     # at most `capacity` rows, with one entry for each pattern that uses the length: bounded by the plan
-    joined = numbered(written, length).join(F.broadcast(by_rows), length)
+    joined = numbered(written).join(F.broadcast(by_rows), "_length")
     hit = F.get(F.filter("_plan", lambda p: (p["first"] <= F.col("_nth")) & (F.col("_nth") < p["after"])), 0)
     joined = joined.withColumn("_hit", hit)
     inner = F.col("_nth") - F.col("_hit.first")
     return joined.select(
-        *[F.col(f"`{c}`") for c in pieces.columns if c not in ("sequence_id", "offset")],
+        "_in.*",
         (F.col("_hit.sequence") + F.floor(inner / F.col("_hit.per_bin"))).cast("long").alias("sequence_id"),
         F.get(F.col("_hit.offsets"), (inner % F.col("_hit.per_bin")).cast("int")).cast("long").alias("offset"),
     )
