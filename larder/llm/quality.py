@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from larder.llm.common import cut, map_arrow, table, texts_of
+from larder.llm.common import cut, give_back, map_arrow, small_batches, table, texts_of
 from larder.llm.rules import repeated_words
 
 THRESHOLD = 0.3
@@ -85,13 +85,20 @@ class Discriminant:
     factors: dict[int, np.ndarray]
     priors: dict[int, float]
 
+    def _forward(self, k: int, y: np.ndarray) -> np.ndarray:
+        """Solve by the lower triangular factor, row by row."""
+        factor, z = self.factors[k], np.empty_like(y)
+        for i in range(len(y)):
+            z[i] = (y[i] - factor[i, :i] @ z[:i]) / factor[i, i]
+        return z
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Probability of class 1.  With one class known it is that class; with none, one half."""
         if len(self.means) < 2:
             return np.full(len(x), 0.5 if not self.means else float(next(iter(self.means))))
         logs = {}
         for k in (0, 1):
-            z = np.linalg.solve(self.factors[k], (x - self.means[k]).T)
+            z = self._forward(k, (x - self.means[k]).T)
             logs[k] = self.priors[k] - 0.5 * (z**2).sum(axis=0) - np.log(np.diag(self.factors[k])).sum()
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
 
@@ -175,17 +182,28 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that the classifier does not reject, with their columns as they are."""
-    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    model = fit(training(measured(source, keep=["doc_id"]), labels))
-    names = docs.columns
+    """The rows of `docs` that the classifier does not reject, with their columns as they are.
+
+    Every text is measured once and goes to Python alone; the rest of its row stays in the JVM.
+    """
+    small_batches(docs.sparkSession)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    measure = F.arrow_udf(_statistics_of, "array<double>")
+    rows = docs.select(whole, measure(F.col(f"`{text}`")).alias("statistics"), F.col(f"`{doc_id}`").alias("doc_id"))
+    rows = cut(rows, "measured")
+    model = fit(training(rows.select("doc_id", "statistics"), labels))
+    d = len(FEATURES)
+
+    def score(statistics: pa.Array) -> pa.Array:
+        return pa.array(model.scores(statistics.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)))
+
+    return rows.where(F.arrow_udf(score, "double")("statistics") >= THRESHOLD).select("row.*")
 
-    def of(batch: pa.RecordBatch) -> dict:
-        x = np.array([statistics(t) for t in texts_of(batch, text)]).reshape(-1, len(FEATURES))
-        good = pa.array(model.scores(x) >= THRESHOLD)
-        return {c: batch.column(c).filter(good) for c in names}
 
-    return map_arrow(docs, docs.schema, of)
+def _statistics_of(texts: pa.Array) -> pa.Array:
+    made = pa.array([statistics(t or "") for t in texts.to_pylist()], pa.list_(pa.float64()))
+    give_back()
+    return made
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,15 @@
 """The stages of the pipeline against plain restatements, each on what the one before kept."""
 
+import random
 import zlib
 
 import cases
+import numpy as np
 from test_operators import ITEMS, contaminated, encoded, packed
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from larder.llm import quality
 from larder.llm.common import cut
 
 
@@ -66,6 +69,41 @@ def test_stages(spark, tmp_path):
     assert len(corpus_pipeline.run(spark, sf).collect()) == len(sequences)
 
 
+def test_classifier_stage_drops_rows(spark, tmp_path):
+    """Two classes: what goes is what a plain restatement of fit and score rejects."""
+    sf = str(tmp_path)
+    rng = random.Random(5)
+    good = ["The " + " ".join(rng.choice("river stone lamp window bread of and".split()) for _ in range(40 + i)) + "." for i in range(60)]
+    bad = [" ".join(rng.choice("# $$$ *** BUY!!! 123 | <a>".split()) for _ in range(8 + i)) for i in range(60)]
+    texts = [x for pair in zip(good, bad) for x in pair] + [None, ""]
+    rows = [(i, t, "x", i, "y", 0.5) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, statistics string, row int, score string, label double").write.parquet(f"{sf}/documents.parquet")
+    labels = [(i, 1 - i % 2) for i in range(100)]
+    spark.createDataFrame([(*r, 0) for r in labels], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, sf)
+    assert kept.dtypes == docs.dtypes
+
+    x = np.array([quality.statistics(t or "") for t in texts])
+    known = [(x[i], k) for i, k in labels if zlib.crc32(str(i).encode()) % 5]
+    parts = {k: np.array([v for v, own in known if own == k]) for k in (0, 1)}
+    n, d = len(known), x.shape[1]
+    center = {k: v.mean(axis=0) for k, v in parts.items()}
+    pooled = sum((v - center[k]).T @ (v - center[k]) for k, v in parts.items()) / n
+    logs = {}
+    for k, v in parts.items():
+        own = max(quality.SHRINK, (d + 1) / (len(v) + d + 1))
+        cov = (1 - own) * np.cov(v.T, bias=True) + own * pooled
+        cov = (1 - quality.RIDGE) * cov + quality.RIDGE * np.diag(np.diag(pooled)) + 1e-4 * np.eye(d)
+        far = np.einsum("ij,jk,ik->i", x - center[k], np.linalg.inv(cov), x - center[k])
+        logs[k] = np.log(len(v) / n) - 0.5 * far - 0.5 * np.linalg.slogdet(cov)[1]
+    score = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
+    want = {i for i, s in enumerate(score) if s >= quality.THRESHOLD}
+    assert {r.doc_id for r in kept.collect()} == want and 50 < len(want) < 90
+    made = {r.doc_id: r.score for r in quality.classify(docs, spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    assert all(abs(made[i] - s) < 1e-6 for i, s in enumerate(score))
+
+
 def test_empty_tables(spark, tmp_path):
     sf = str(tmp_path)
     cases.frame(spark, empty=True).write.parquet(f"{sf}/documents.parquet")
