@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import map_arrow, map_groups, texts_of
 
-POSTINGS = 1_000_000  # in a bucket, about 75 MB in a task
+POSTINGS = 2_000_000  # in a bucket, about 150 MB in a task
 LEAST_BUCKETS = 64
-_FLUSH = 500_000
+_FLUSH = 1_000_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -22,6 +22,7 @@ from larder.llm.rules import repeated_words
 THRESHOLD = 0.3
 SHRINK = 0.2  # class covariance towards the pooled one
 RIDGE = 0.05  # and towards its diagonal
+FIT_ROWS = 200_000  # labels that the filter learns from
 FEATURES = [
     "log_words", "log_word_chars", "symbols", "marked_words", "bars", "upper_words", "digits", "exclaimed",
     "repeated", "same_lines", "varied", "line_words", "stops",
@@ -181,29 +182,28 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     return made.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_good(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS
+) -> DataFrame:
     """The rows of `docs` that the classifier does not reject, with their columns as they are.
 
-    Every text is measured once and goes to Python alone; the rest of its row stays in the JVM.
+    It learns from at most `fit_rows` labels, those with the least hashes of their ids, so that only their documents
+    are measured before the pass that keeps or drops.  Texts alone go to Python; the rest of a row stays in the JVM.
     """
     small_batches(docs.sparkSession)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    measure = F.arrow_udf(_statistics_of, "array<double>")
-    rows = docs.select(whole, measure(F.col(f"`{text}`")).alias("statistics"), F.col(f"`{doc_id}`").alias("doc_id"))
-    rows = cut(rows, "measured")
-    model = fit(training(rows.select("doc_id", "statistics"), labels))
-    d = len(FEATURES)
-
-    def score(statistics: pa.Array) -> pa.Array:
-        return pa.array(model.scores(statistics.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)))
-
-    return rows.where(F.arrow_udf(score, "double")("statistics") >= THRESHOLD).select("row.*")
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("label")).where("label in (0, 1)")
+    known = known.where(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id"), "_id", "label").limit(fit_rows)
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    # an id and a number for each of `fit_rows` labels at most
+    labelled = source.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", "label")
+    model = fit(measured(labelled, keep=["label"]))
 
+    def score(texts: pa.Array) -> pa.Array:
+        x = np.array([statistics(t or "") for t in texts.to_pylist()]).reshape(-1, len(FEATURES))
+        give_back()
+        return pa.array(model.scores(x))
 
-def _statistics_of(texts: pa.Array) -> pa.Array:
-    made = pa.array([statistics(t or "") for t in texts.to_pylist()], pa.list_(pa.float64()))
-    give_back()
-    return made
+    return docs.where(F.arrow_udf(score, "double")(F.col(f"`{text}`")) >= THRESHOLD)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
