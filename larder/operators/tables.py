@@ -42,6 +42,18 @@ def get_recipe(
     return hit.join(nested, hit["id"] == nested["recipe_id"], "left").drop("recipe_id")
 
 
+def with_ingredients(hits: DataFrame, recipes: DataFrame, bridge: DataFrame, order: list[str], fields: list[str]) -> DataFrame:
+    """A written page of ranked hits (id, score) as recipes with nested ingredients.
+
+    Both tables meet the ids of the page only, which are broadcast because a page has a size.
+    """
+    page = F.broadcast(hits)
+    mine = bridge.join(page.select(F.col("id").alias("recipe_id")), "recipe_id", "left_semi")
+    nested = nest_ingredients(mine, order, fields)
+    shown = recipes.join(page, "id")
+    return shown.join(nested, shown["id"] == nested["recipe_id"], "left").drop("recipe_id")
+
+
 def join_dictionaries(bridge: DataFrame, ingredients: DataFrame, measurements: DataFrame) -> DataFrame:
     """Bridge rows with ingredient and measurement attributes: left outer joins, rows are kept."""
     return bridge.join(

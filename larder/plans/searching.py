@@ -131,7 +131,7 @@ def _tokens(c: str) -> str:
     )
 
 
-def _scores(query: str, boosts: dict[str, float], test=None, tie: float = 0.0, where: str = "true") -> str:
+def _scores(query: str, boosts: dict[str, float], test=None, tie: float = 0.0, where: str = "true", docs: str = _DOCS) -> str:
     """CTEs up to `scores(id, score)` and `parts`."""
     terms = s.query_terms(query)
     test = test or (lambda t: f"w = '{t}'")
@@ -139,7 +139,7 @@ def _scores(query: str, boosts: dict[str, float], test=None, tie: float = 0.0, w
     tf = " UNION ALL ".join(
         f"SELECT id, field, boost, len(ws) AS dl, '{t}' AS term, len(list_filter(ws, lambda w: {test(t)})) AS tf FROM words" for t in terms
     )
-    return f"""WITH {_DOCS}, words AS MATERIALIZED ({words}), counted AS MATERIALIZED ({tf}),
+    return f"""WITH {docs}, words AS MATERIALIZED ({words}), counted AS MATERIALIZED ({tf}),
     sizes AS (SELECT field, count(*) FILTER (len(ws) > 0)::DOUBLE AS n, sum(len(ws)) / (count(*) FILTER (len(ws) > 0)) AS average FROM words GROUP BY 1),
     dfs AS (SELECT field, term, count(*)::DOUBLE AS df FROM counted WHERE tf > 0 GROUP BY 1, 2),
     parts AS (SELECT id, field, boost, term, tf::DOUBLE AS tf, df, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf,
