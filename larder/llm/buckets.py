@@ -41,7 +41,7 @@ def _packed(sorted_hashes: np.ndarray) -> bytes:
     return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
+def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
@@ -66,24 +66,27 @@ def _rows(keys: dict[bytes, int], sets: list[np.ndarray], n_buckets: int) -> dic
 
 def _shared(group: pa.Table) -> pa.Table:
     """Of one bucket: for each owner its hashes that another owner has too, with the number of owners."""
-    hashes, owners, keys, at = [], [], [], 0
-    for h, o, k in zip(*(group.column(c).to_pylist() for c in ("hashes", "owners", "keys"))):
-        own, values = np.frombuffer(k, np.dtype("V16")), _unpacked(h)
+    hashes, owners, keys = [], [], []
+    for row in zip(*(group.column(c) for c in ("hashes", "owners", "keys"))):
+        packed, places, own = (x.as_buffer() for x in row)  # not copied
+        values = _unpacked(packed)
         hashes.append(values)
-        owners.append(np.frombuffer(o, "<u2" if len(o) == 2 * len(values) else "<u4").astype(np.int64) + at)
-        keys.append(own)
-        at += len(own)
+        owners.append(np.frombuffer(places, "<u2" if places.size == 2 * len(values) else "<u4"))
+        keys.append(np.frombuffer(own, np.dtype("V16")))
     names, ranks = np.unique(np.concatenate(keys), return_inverse=True)
-    h, c = np.concatenate(hashes), ranks.ravel()[np.concatenate(owners)]
+    ranks = np.split(ranks.ravel().astype(np.uint32), np.cumsum([len(k) for k in keys])[:-1])
+    h, c = np.concatenate(hashes), np.concatenate([r[o] for r, o in zip(ranks, owners)])
+    del hashes, owners, keys, ranks
     order = np.lexsort((c, h))
     h, c = h[order], c[order]
+    del order
     new = np.ones(len(h), bool)  # an owner that several batches sent counts once
     new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
     h, c = h[new], c[new]
-    counts = np.diff(np.r_[np.flatnonzero(np.r_[True, h[1:] != h[:-1]]), len(h)])
+    counts = np.diff(np.r_[np.flatnonzero(np.r_[True, h[1:] != h[:-1]]), len(h)]).astype("<u4")
     df = np.repeat(counts, counts)
     more = df > 1
-    h, c, df = h[more], c[more], df[more].astype("<u4")
+    h, c, df = h[more], c[more], df[more]
     order = np.argsort(c, kind="stable")
     h, c, df = h[order], c[order], df[order]
     edges = np.r_[np.flatnonzero(np.r_[True, c[1:] != c[:-1]]), len(c)] if len(c) else np.zeros(1, int)

@@ -36,7 +36,7 @@ class _Hashes(dict):
     """64-bit hashes of words; forgets all when it has met very many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         made = self[word] = xxhash.xxh3_64_intdigest(word)
         return made

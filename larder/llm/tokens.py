@@ -13,7 +13,7 @@ from functools import lru_cache
 
 VOCABULARY = "word_bpe_49k.json"
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-_BOUND = 400_000
+_BOUND = 150_000
 _LONGEST = 80
 
 
