@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -60,6 +61,16 @@ def with_row(df: DataFrame, row: str = "_row") -> DataFrame:
     return df.withColumn(row, F.monotonically_increasing_id())
 
 
+def with_place(df: DataFrame, columns: list[Column], row: str = "_row") -> DataFrame:
+    """Some columns, and what tells rows apart on every scan: of a table read from files the (hashed) file and the
+    place in it; any other frame is written with a number for each row."""
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"))
+    try:
+        return df.select(*columns, place.alias(row))
+    except AnalysisException:  # not a plain scan, or it has a column of that name
+        return cut(with_row(df.select(*columns), row), "numbered")
+
+
 def give_back() -> None:
     """Return memory that is free but kept by the allocators; idle workers stay small beside busy ones."""
     pa.default_memory_pool().release_unused()

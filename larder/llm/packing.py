@@ -19,6 +19,7 @@ from larder.llm.common import cut, map_arrow, table, texts_of
 from larder.llm.tokens import encoder, vocabulary_path
 
 CAPACITY = 2048
+CACHED = 200_000  # parts of texts; workers of the pipeline are small
 
 
 def fullest(lengths: dict[int, int], room: int) -> list[int]:
@@ -158,7 +159,7 @@ def pieces(
     end = int(end_id).to_bytes(4, "little")
 
     def of(batch: pa.RecordBatch):
-        encode = encoder(path).encode
+        encode = encoder(path, CACHED).encode
         names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         out: dict[str, list] = {n: [] for n in names}
         size = 0

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 VOCABULARY = "word_bpe_49k.json"
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-_BOUND = 150_000
+_BOUND = 400_000
 _LONGEST = 80
 
 
@@ -34,7 +34,8 @@ def _byte_letters() -> list[str]:
 class WordEncoder:
     """`encode` gives the ids of a text as little-endian unsigned 32-bit integers in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, bound: int = _BOUND):
+        self.bound = bound
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -61,7 +62,7 @@ class WordEncoder:
             ids = self._new(part)
         if len(part) <= _LONGEST:
             self.young[part] = ids
-            if len(self.young) >= _BOUND:
+            if len(self.young) >= self.bound:
                 self.old, self.young = self.young, {}
         return ids
 
@@ -76,6 +77,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder, and its cache, for each worker process."""
-    return WordEncoder(path)
+def encoder(path: str, bound: int = _BOUND) -> WordEncoder:
+    """One encoder, and its cache of up to twice `bound` parts, for each worker process."""
+    return WordEncoder(path, bound)
