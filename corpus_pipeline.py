@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import decontaminate, jaccard, packing, pii, quality
-from larder.llm.common import cut, table, with_row
+from larder.llm.common import cut, table, with_place
 
 
 def _boxed(docs: DataFrame) -> DataFrame:
@@ -27,12 +27,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id; texts without words are all kept."""
-    rows = cut(with_row(_boxed(docs).withColumn("doc_id", F.col("_in.doc_id"))), "numbered")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")
+    rows = with_place(docs, [whole, F.col("doc_id"), F.col("text")])
     groups = jaccard.joined(rows, "_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
     ids = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_rank"))
     first = groups.join(ids, "_row").groupBy("_group").agg(F.min("_rank").alias("_rank"))
     keep = cut(first.select(F.col("_rank._row").alias("_row")), "kept")
-    return rows.join(keep, "_row", "left_semi").select("_in.*")
+    # by merging at every size: what stays is not bounded
+    return rows.join(keep.hint("merge"), "_row", "left_semi").select("_in.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
