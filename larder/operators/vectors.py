@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.embedding import HashingEncoder, cosine, dot, embed
+from larder.functions.embedding import HashingEncoder, cosine, dot, embed, embedding_text
+from larder.operators.documents import sync_documents
 
 
 def backfill(
@@ -27,6 +28,26 @@ def backfill(
     )
 
 
+def document_text(documents: DataFrame) -> DataFrame:
+    """(id, text) of nested documents: what their vectors are made of."""
+    names = F.transform("ingredients", lambda i: i["name"])
+    return documents.select("id", embedding_text(F.col("title"), names).alias("text"))
+
+
+def sync_with_vectors(
+    stored: DataFrame, changed: DataFrame, vectors: DataFrame, encoder: Callable[[], object] = HashingEncoder
+) -> tuple[DataFrame, DataFrame]:
+    """Incremental sync of documents that carry their vectors: the documents, and the table of vectors to store.
+
+    A vector stays while title and ingredient names give the same text; new and changed texts are encoded, and
+    vectors of documents that vanished go.  `vectors` has (id, text_hash, embedding) of an earlier sync.  The second
+    result adds `state`, which is kept or encoded.
+    """
+    documents = sync_documents(stored.drop("embedding"), changed.drop("embedding"))
+    made = backfill(document_text(documents), vectors, encoder).select("id", "text_hash", "embedding", "state")
+    return documents.join(made.select("id", "embedding"), "id", "left"), made
+
+
 def nearest(
     vectors: DataFrame, query: Column, k: int, id: str = "id", vector: str = "embedding", score: str = "score"
 ) -> DataFrame:
@@ -118,6 +139,6 @@ def hybrid(
 
 
 __all__ = [
-    "backfill", "dot", "encode_query", "fit_hash_tables", "hybrid", "hybrid_search", "nearest", "nearest_approx", "nearest_to",
-    "semantic_search", "vector_score",
+    "backfill", "document_text", "dot", "encode_query", "fit_hash_tables", "hybrid", "hybrid_search", "nearest", "nearest_approx",
+    "nearest_to", "semantic_search", "sync_with_vectors", "vector_score",
 ]

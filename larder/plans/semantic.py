@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from larder import lexicon
 from larder.functions.embedding import LetterEncoder, embed, embedding_text, parse_vector
+from larder.operators import cells, posts, search, vectors
 from larder.operators import documents as doc
-from larder.operators import posts, search, vectors
 from larder.plans.corpus import bridge, lines, oracle, recipes, table
 from larder.plans.searching import QUERY, _scores, docs
-from larder.session import checkpointed
+from larder.session import checkpointed, shared_folder
 
 
 def stored_vectors(spark, sf_dir):
@@ -42,6 +44,43 @@ def v3(spark, sf_dir):
     return vectors.backfill(current, stored).select("id", "state", F.size("embedding").alias("dims"))
 
 
+def v3_sync(spark, sf_dir):
+    """A sync after which three of five documents keep their vectors; a third of the stored titles has changed."""
+    current = _documents(spark, sf_dir).where("NOT malformed")
+    older = F.when(F.col("id") % 3 == 0, F.concat("title", F.lit(" old"))).otherwise(F.col("title"))
+    stored = current.drop("malformed").where("id % 5 <> 0").withColumn("title", older)
+    texts = vectors.document_text(stored).withColumn("text_hash", F.xxhash64("text"))
+    known = embed(texts, "text", LetterEncoder).select("id", "text_hash", "embedding")
+    synced, made = vectors.sync_with_vectors(stored, current.where("id % 3 = 0 OR id % 5 = 0"), known, LetterEncoder)
+    # the fifth letter's share of the vector tells which text was encoded
+    return synced.join(made.select("id", "state"), "id").select("id", "title", "state", F.round(F.element_at("embedding", 5).cast("double"), 4).alias("e"))
+
+
+def _cells(spark, sf_dir):
+    """The inverted file of the stored vectors; written once in a session."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _written:
+        path = f"{shared_folder(spark)}/cells/{key[0]}-{uuid.uuid4().hex}"
+        cells.build_cells(stored_vectors(spark, sf_dir), path)
+        _written[key] = path
+    return cells.read_cells(spark, _written[key])
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def v5_cells(spark, sf_dir):
+    """Exact, from the cells that can hold one of the ten nearest."""
+    query = stored_vectors(spark, sf_dir).where("id = 7").first()["embedding"]  # one row
+    return cells.search_cells(_cells(spark, sf_dir), query, 10, exact=True).select("id", "score")
+
+
+def v5_cells_many(spark, sf_dir):
+    """Every twentieth vector is a query for its ten nearest among all; approximate."""
+    queries = stored_vectors(spark, sf_dir).where("id % 20 = 0").select(F.col("id").alias("query"), "embedding")
+    return cells.search_many(_cells(spark, sf_dir), queries, 10, probes=16)
+
+
 def v4(spark, sf_dir):
     e = stored_vectors(spark, sf_dir)
     text = F.concat(F.lit("["), F.array_join(F.transform("embedding", lambda x: x.cast("string")), ","), F.lit("]"))
@@ -86,22 +125,6 @@ def v8(spark, sf_dir):
     return vectors.hybrid(text, near, 60)
 
 
-def _titles(spark, sf_dir):
-    titles = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.element_at(F.split("text", "\n"), 1).alias("title"))
-    return embed(titles, "title", LetterEncoder)
-
-
-def v5_text(spark, sf_dir):
-    """From a query text to the nearest titles."""
-    return vectors.semantic_search(_titles(spark, sf_dir), QUERY, 20, LetterEncoder).select("id", "score")
-
-
-def v8_text(spark, sf_dir):
-    """One query text for both halves of the ranking."""
-    hits = search.search_all(docs(spark, sf_dir), QUERY, search.TEXT_BOOSTS)
-    return vectors.hybrid_search(hits, _titles(spark, sf_dir), QUERY, 60, encoder=LetterEncoder)
-
-
 def _directed(embedded):
     """Texts without any word or letter have a zero vector, which is near to nothing."""
     return embedded.select("id", "embedding").where(F.exists("embedding", lambda x: x != 0))
@@ -207,6 +230,12 @@ def p3(spark, sf_dir):
     return posts.unseen(s, history, "id").select("id", "title", "user")
 
 
+def p3_new(spark, sf_dir):
+    """Titles by number: those of the history are left out, of the others each comes once."""
+    s = submissions(spark, sf_dir).withColumnRenamed("author", "user").withColumn("title", F.concat_ws(" ", F.lit("Post"), F.floor(F.col("id") / 3).cast("string")))
+    return posts.unseen(s.where("user IS NOT NULL"), s.where("id % 7 = 3 AND user IS NOT NULL").select("title", "user"), "id").select("id", "title", "user")
+
+
 def p4(spark, sf_dir):
     return posts.newest(submissions(spark, sf_dir)).select("id", "title", "created_utc")
 
@@ -218,13 +247,6 @@ _V7 = "(SELECT embedding FROM embeddings WHERE vec_id = 7)"
 # counts of letters, scaled to unit length in single precision as the encoder does
 _LETTERS = "[" + ", ".join(f"(length(t) - length(replace(t, '{chr(c)}', '')))::FLOAT" for c in range(97, 123)) + "]"
 _UNIT = "list_transform({0}, lambda x: (x / CAST(sqrt(list_sum(list_transform({0}, lambda y: y::DOUBLE * y))) AS FLOAT))::DOUBLE)"
-_TITLE_NEAR = f"""
-letters AS (SELECT id, {_LETTERS} AS v FROM (
-  SELECT doc_id AS id, lower(string_split(text, chr(10))[1]) AS t FROM documents UNION ALL SELECT NULL, lower('{QUERY}'))),
-units AS (SELECT id, {_UNIT.format('v')} AS u FROM letters),
-near AS (SELECT id, round(list_cosine_similarity(u, (SELECT u FROM units WHERE id IS NULL)), 6) AS sim FROM units WHERE id IS NOT NULL
-  AND list_sum(u) > 0)"""
-
 _WHOLE_NEAR = f"""
 letters AS (SELECT id, {_LETTERS} AS v FROM (
   SELECT doc_id AS id, lower(text) AS t FROM documents UNION ALL SELECT NULL, lower('{QUERY}'))),
@@ -287,6 +309,16 @@ ENTRIES = {
                CASE WHEN id % 3 <> 0 AND id % 2 <> 0 THEN 1 ELSE 384 END AS dims FROM recipes"""
         ),
     ),
+    "V3_vectors_follow_sync": (
+        v3_sync,
+        oracle(
+            f"""SELECT id, title, CASE WHEN id % 3 = 0 OR id % 5 = 0 THEN 'encoded' ELSE 'kept' END AS state,
+                 round(({_UNIT.format(_LETTERS)})[5], 4) AS e
+                FROM (SELECT id, title, lower(title || coalesce(names, '')) AS t FROM doc_rows LEFT JOIN
+                  (SELECT recipe_id, string_agg(name, '') AS names FROM doc_lines GROUP BY 1) ON id = recipe_id WHERE NOT malformed)""",
+            _DOC_CTES,
+        ),
+    ),
     "V4_parse_vector": (
         v4, "SELECT vec_id AS id, CASE WHEN vec_id % 10 NOT IN (3, 4) THEN true END AS same FROM embeddings",
     ),
@@ -294,6 +326,11 @@ ENTRIES = {
         v5,
         f"SELECT vec_id AS id, label, {_COS.format(_V7)} AS score FROM embeddings ORDER BY score DESC, id LIMIT 10",
     ),
+    "V5_nearest_from_cells": (
+        v5_cells, f"SELECT vec_id AS id, {_COS.format(_V7)} AS score FROM embeddings ORDER BY score DESC, id LIMIT 10",
+    ),
+    # approximate, so beyond SQL: tests hold recall and a search of all cells against brute force
+    "V5_many_from_cells": (v5_cells_many, None),
     "V5_approximate_recall": (v5_approx_recall, "SELECT true AS recall_ok, 10::BIGINT AS n FROM (SELECT count(*) FROM embeddings)"),
     "V6_similar_to_stored": (
         v6,
@@ -313,14 +350,6 @@ ENTRIES = {
             SELECT id, round(coalesce(score, 0) + 0.5 * coalesce((1 + sim) / 2, 0), 6) AS score
             FROM scores FULL OUTER JOIN near USING (id) ORDER BY score DESC, id LIMIT 60""",
     ),
-    "V5_query_text": (v5_text, f"WITH {_TITLE_NEAR} SELECT id, sim AS score FROM near ORDER BY score DESC, id LIMIT 20"),
-    "V8_query_text": (
-        v8_text,
-        _scores(QUERY, search.TEXT_BOOSTS)
-        + f""", {_TITLE_NEAR}, best AS (SELECT * FROM near ORDER BY sim DESC, id LIMIT 50)
-            SELECT id, round(coalesce(score, 0) + 0.5 * coalesce((1 + sim) / 2, 0), 6) AS score
-            FROM scores FULL OUTER JOIN best USING (id) ORDER BY score DESC, id LIMIT 60""",
-    ),
     "V5_whole_text": (v5_whole_text, f"WITH {_WHOLE_NEAR} SELECT id, sim AS score FROM near ORDER BY score DESC, id LIMIT 20"),
     "V8_whole_text": (
         v8_whole_text,
@@ -361,6 +390,12 @@ ENTRIES = {
             SELECT min(id) AS id, title, author AS "user" FROM known
             WHERE title || '_' || author NOT IN (SELECT title || '_' || author FROM known WHERE id % 7 = 3) GROUP BY 2, 3""",
     ),
+    "P3_unseen_titles": (
+        p3_new,
+        f"""WITH {_SUBMISSIONS}, known AS (SELECT id, 'Post ' || (id // 3) AS title, author FROM submissions WHERE author IS NOT NULL)
+            SELECT min(id) AS id, title, author AS "user" FROM known
+            WHERE title || '_' || author NOT IN (SELECT title || '_' || author FROM known WHERE id % 7 = 3) GROUP BY 2, 3""",
+    ),
     "P4_newest": (
         p4, f"WITH {_SUBMISSIONS} SELECT id, title, created_utc FROM submissions ORDER BY created_utc DESC, id DESC LIMIT 25",
     ),
