@@ -100,7 +100,7 @@ def all_of(recipes: DataFrame, lines: DataFrame, terms: list[str]) -> DataFrame:
     return recipes.join(best, "id")
 
 
-def _operators_and_terms(expression: str) -> tuple[str, list[str]]:
+def boolean_terms(expression: str) -> tuple[str, list[str]]:
     """Replace every term by a column name; the operators and parentheses stay as they are.
 
     NOT, AND, OR and parentheses mean the same in Spark SQL (NOT binds strongest, then AND), so the
@@ -125,7 +125,7 @@ def boolean_search(recipes: DataFrame, lines: DataFrame, expression: str) -> Dat
     One pass over the lines makes one flag per term and recipe; recipes without any matching line
     join with all flags false, so that NOT keeps them.
     """
-    sql, terms = _operators_and_terms(expression)
+    sql, terms = boolean_terms(expression)
     flags = [f"_t{i}" for i in range(len(terms))]
     tests = lines.select(
         F.col("recipe_id").alias("id"), *[(line_score(F.col("name"), t) > 0).alias(f) for f, t in zip(flags, terms)]
@@ -137,7 +137,7 @@ def boolean_search(recipes: DataFrame, lines: DataFrame, expression: str) -> Dat
 
 def filter_documents(documents: DataFrame, expression: str, ingredients: str = "ingredients") -> DataFrame:
     """The same boolean filter on documents with nested ingredients: no join, one pass."""
-    sql, terms = _operators_and_terms(expression)
+    sql, terms = boolean_terms(expression)
 
     def some_line(term: str) -> Column:
         found = F.exists(ingredients, lambda line: line_score(line["name"], term) > 0)
@@ -148,10 +148,7 @@ def filter_documents(documents: DataFrame, expression: str, ingredients: str = "
 
 
 def any_of(recipes: DataFrame, lines: DataFrame, terms: list[str], k: int) -> DataFrame:
-    """Top k recipes by the number of (line, term) matches; at least one is needed.
-
-    Only the k hits get their ingredient list collected.
-    """
+    """Top k recipes by the number of (line, term) matches; at least one is needed."""
     per_line = reduce(lambda a, b: a + b, [matches(F.col("name"), t).cast("int") for t in terms])
     scored = (
         lines.select("recipe_id", per_line.alias("_s"))
@@ -159,6 +156,11 @@ def any_of(recipes: DataFrame, lines: DataFrame, terms: list[str], k: int) -> Da
         .groupBy("recipe_id")
         .agg(F.sum("_s").alias("score"))
     )
+    return top_with_names(recipes, lines, scored, k)
+
+
+def top_with_names(recipes: DataFrame, lines: DataFrame, scored: DataFrame, k: int) -> DataFrame:
+    """The k best of scored recipes (recipe_id, score); only these get their ingredient list collected."""
     top = (
         recipes.join(scored, recipes["id"] == scored["recipe_id"])
         .select("id", "title", "description", "total_time_minutes", "difficulty", "score")

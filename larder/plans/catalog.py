@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.session import tune
 
-MODULES = ["relational", "aggregations", "discovery", "loading", "extraction", "searching", "postings", "semantic", "streams"]
+MODULES = ["relational", "aggregations", "discovery", "loading", "extraction", "searching", "postings", "names", "semantic", "streams"]
 
 
 def _entries() -> dict[str, tuple[Callable, str | None]]:
