@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from larder.operators import aggregates as agg
+from larder.operators import sketches
 from larder.operators.tables import count_by
 from larder.plans.corpus import lines, oracle, recipes
+from larder.session import shared_folder
 
 
 def a1(spark, sf_dir):
@@ -26,6 +30,23 @@ def a1_approx_error(spark, sf_dir):
     )
 
 
+def a1_loads(spark, sf_dir):
+    """Totals from what three loads stored."""
+    r, n = recipes(spark, sf_dir), lines(spark, sf_dir)
+    store = sketches.Totals(spark, f"{shared_folder(spark)}/totals/{uuid.uuid4().hex}")
+    for part in range(3):
+        store.add(str(part), r.where(F.col("id") % 3 == part), n.where(F.col("recipe_id") % 3 == part))
+    return store.read().select("mentions", "unique_ingredients", "total_recipes")
+
+
+def a1_titles(spark, sf_dir):
+    """Distinct titles from the sketches of the datasets, with the exact number."""
+    r = recipes(spark, sf_dir)
+    sketch = sketches.merged(sketches.least_hashes(r, "title", 1024, by="dataset"), 1024)
+    exact = r.select(F.countDistinct("title").alias("n")).scalar()
+    return sketches.estimate(sketch, 1024, "unique_titles").withColumn("exact", exact)
+
+
 def a2(spark, sf_dir):
     return agg.top_ingredients_per_cuisine(recipes(spark, sf_dir), lines(spark, sf_dir))
 
@@ -84,6 +105,21 @@ ENTRIES = {
         ),
     ),
     "A1_top_50_ingredients": (a1_top, oracle(_TOP + "50")),
+    "A1_totals_by_load": (
+        a1_loads,
+        oracle(
+            """SELECT count(name) AS mentions, count(DISTINCT name) AS unique_ingredients,
+               (SELECT count(id) FROM recipes) AS total_recipes FROM lines"""
+        ),
+    ),
+    "A1_titles_from_sketches": (
+        a1_titles,
+        oracle(
+            """SELECT CASE WHEN count(*) < 1024 THEN count(*) ELSE round(1023::DOUBLE * 1152921504606846976::DOUBLE / max(h)::DOUBLE)::BIGINT END AS unique_titles,
+                 CASE WHEN count(*) < 1024 THEN 0 ELSE 1 / sqrt(1022::DOUBLE) END AS relative_error, (SELECT count(DISTINCT title) FROM recipes) AS exact
+               FROM (SELECT DISTINCT ('0x' || substr(md5(title), 1, 15))::BIGINT AS h FROM recipes ORDER BY h LIMIT 1024)"""
+        ),
+    ),
     "A1_approximate_unique": (a1_approx_error, oracle("SELECT count(name) AS mentions, true AS close FROM lines")),
     "A2_top_ingredients_per_cuisine": (
         a2,
