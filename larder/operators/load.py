@@ -475,7 +475,8 @@ class Reload(Load):
         now: Column | None = None,
         cut: Callable[[DataFrame], DataFrame] = lambda df: df,
     ):
-        self.chosen = staged.join(uuids.select("uuid").distinct(), "uuid", "left_semi")
+        # a uuid that many staged records share is cut into slices
+        self.chosen = hot_key_join(staged, uuids.select("uuid").distinct(), "uuid", "left_semi")
         super().__init__(self.chosen, tables, now, cut)
 
     @cached_property

@@ -37,7 +37,8 @@ def hot_key_join(
     """
     slices = F.coalesce(F.try_element_at(hot_keys(facts, key, share), F.col(key)), F.lit(1))
     others = [F.col(c) for c in facts.columns if c != key]
-    spread = F.pmod(F.xxhash64(*others), slices).cast("int") if others else F.lit(0)
+    # only rows of hot keys pay for a hash of their other columns
+    spread = F.when(slices > 1, F.pmod(F.xxhash64(*others), slices).cast("int")).otherwise(0) if others else F.lit(0)
     left = facts.withColumn("_salt", spread)
     right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
     return left.join(right, [key, "_salt"], how).drop("_salt")
