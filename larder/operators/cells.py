@@ -70,17 +70,15 @@ def _usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
     return rows.where(F.col("embedding").isNotNull() & (norm > 0) & (norm < float("inf")))
 
 
-def _unit(vector: Column) -> Column:
-    return F.transform(vector, lambda x: x.cast("double") / _norm(vector))
-
-
 def _fit(rows: DataFrame, cells: int, seed: int) -> np.ndarray:
     """Centroids of the unit vectors, from the rows with the least hashes of their ids and values."""
     from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import Normalizer
     from pyspark.ml.functions import array_to_vector
 
     sample = rows.orderBy(F.xxhash64("id", "embedding")).limit(cells * FIT_ROWS_PER_CELL)
-    features = sample.select(array_to_vector(_unit(F.col("embedding"))).alias("features"))
+    made = sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("vector"))
+    features = Normalizer(inputCol="vector", outputCol="features").transform(made)
     model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=2).fit(features)
     return np.array(model.clusterCenters())
 
@@ -126,12 +124,14 @@ def build_cells(
     table = StructType([StructField("cell", IntegerType()), StructField("centroid", ArrayType(DoubleType()))])
     # at most MAX_CELLS rows
     listed = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centroids)], table)
-    apart = F.zip_with(_unit(F.col("embedding")), F.col("centroid"), lambda a, b: a - b)
+    # the squared distance of the unit vector from its centroid
+    x, c = F.col("embedding"), F.col("centroid")
+    apart = F.greatest(1 + dot(c, c) - 2 * dot(x, c) / _norm(x), F.lit(0.0))
     measured = (
         _rows(spark, path, rows)
         .join(F.broadcast(listed), "cell")
         .groupBy("cell")
-        .agg(F.count("*").alias("size"), F.max(_norm(apart)).alias("radius"))
+        .agg(F.count("*").alias("size"), F.sqrt(F.max(apart)).alias("radius"))
     )
     stored = listed.join(measured, "cell", "left").select(
         "cell", "centroid", F.coalesce("size", F.lit(0)).alias("size"), F.coalesce("radius", F.lit(0.0)).alias("radius")
