@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import lexicon as lx
+from larder.operators import metadata
 from larder.operators.extract import clean_model_output, extract_recipes, extraction_report
 from larder.operators.lines import drop_bad, ingredient, line_parse, listed_parse, simple_parse, smart_parse
 
@@ -201,3 +202,19 @@ def test_long_title_and_opening(spark):
     got = {r.k: r for r in extract_recipes(df, ["k"]).collect()}
     assert len(title) > 101 and got[1].title == title
     assert len(opening) > 200 and got[2].description == opening
+
+
+def test_hits_are_the_words_that_a_text_contains(spark):
+    words = metadata.BOTH_WORDS + metadata.TITLE_WORDS + metadata.TEXT_WORDS
+    texts = ["", "hamburgers with sous vide beef", "bbbbq basil thai bratwurst", " ".join(words), "".join(words), "béarnaise\ngluten-freegg"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for some in (metadata.BOTH_WORDS, metadata.TITLE_WORDS, metadata.TEXT_WORDS):
+        for r in df.select("t", metadata.hits(F.col("t"), some).alias("h")).collect():
+            assert sorted(r["h"]) == sorted({w for w in some if w in r["t"]})
+
+
+def test_attributes_that_nobody_reads_are_not_computed(spark):
+    made = extract_recipes(spark.createDataFrame([(1, "1 cup rice")], "id int, comment string"), ["id"])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "vanilla extract|" not in plan(made.select("id", "ingredients")) and "_in_text" not in plan(made.select("id", "ingredients"))
+    assert "_in_text" in plan(made)
