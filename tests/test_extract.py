@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import lexicon as lx
+from larder.functions.text import contains_any, starts_with_any
 from larder.operators import metadata
 from larder.operators.extract import clean_model_output, extract_recipes, extraction_report
 from larder.operators.lines import drop_bad, ingredient, line_parse, listed_parse, simple_parse, smart_parse
@@ -218,3 +219,13 @@ def test_attributes_that_nobody_reads_are_not_computed(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "vanilla extract|" not in plan(made.select("id", "ingredients")) and "_in_text" not in plan(made.select("id", "ingredients"))
     assert "_in_text" in plan(made)
+
+
+def test_word_tests_are_one_pattern(spark):
+    words = ["sous vide", "egg", "eggplant", "a.b", "[x]", "-", "é"]
+    df = spark.createDataFrame([(t,) for t in ["", "nutmeg", "aXb", "a.b", "x", "[x]", "ab-", "café", "eggp", "sous", None]], "t string")
+    found = df.select("t", contains_any(F.col("t"), words).alias("any"), starts_with_any(F.col("t"), words).alias("first"))
+    for r in found.collect():
+        assert r["any"] == (None if r["t"] is None else any(w in r["t"] for w in words))
+        assert r["first"] == (None if r["t"] is None else any(r["t"].startswith(w) for w in words))
+    assert "exists(" not in found._jdf.queryExecution().optimizedPlan().toString()
