@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from larder.functions.analysis import porter_stem, stem_words, tokens
 from larder.functions.staging import once
+from larder.functions.text import let
 from larder.operators.ingredients import allowed_edits, within_edits
 from larder.operators.search import bm25, idf, query_terms
 
 BUCKETS, SLICES = 64, 8
 REGION_BITS = 10  # a region has at most 1,024 documents, and so has a block
-EDITS, BEGINNING = 2, 8  # deletions, and the characters they are made in
+EDITS, BEGINNING = 2, 5  # deletions, and the characters they are made in
 _CLOSE = 2e-6  # scores are rounded to six digits
 
 
@@ -52,6 +53,24 @@ def beginnings_of(word: str, edits: int, prefix: int = 0) -> list[str]:
     return sorted({"".join(c for i, c in enumerate(start) if i not in gone) for k in range(edits + 1) for gone in combinations(places, k)})
 
 
+def word_counts(words: Column) -> Column:
+    """(term, tf) of the distinct words of an array: the lengths of runs of equal words once it is sorted."""
+
+    def runs(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s) - 1)
+        first = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(
+            first,
+            lambda at: F.transform(
+                at,
+                lambda i, n: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, n + 1), F.size(s)) - i).cast("double").alias("tf")),
+            ),
+        )
+
+    none = F.array().cast("array<struct<term:string,tf:double>>")
+    return let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none))
+
+
 # stated, so that tables without rows, and so without files, can be read
 _SCHEMAS = {
     "blocks": "field string, term string, region long, size long, top double, postings array<struct<id:{id},tf:double,length:double>>, bucket int",
@@ -79,21 +98,19 @@ def write(
     index = Index(spark, path, buckets)
     sizes = index.table("fields")
 
-    # counted per document before anything is moved; a block has the documents of one region, so no word is hot
-    counted = (
-        listed.select("id", "region", "field", "length", F.explode("words").alias("term"))
-        .groupBy("field", "term", "region", "id", "length")
-        .agg(F.count("*").cast("double").alias("tf"))
-    )
+    # counted within the row; a posting is moved once, to the folder and slice of its block, and a block has the documents
+    # of one region, so no word is hot
+    counted = listed.select("id", "region", "field", "length", F.inline(word_counts(F.col("words"))))
+    place = [_bucket(F.col("term"), buckets).alias("bucket"), F.pmod(F.col("region"), F.lit(SLICES)).alias("slice")]
+    moved = counted.select("*", *place).repartition("bucket", "slice")
     # a row for each field
     impact = bm25(F.col("tf"), F.col("length"), F.col("average"))
     blocks = (
-        counted.join(F.broadcast(sizes), "field")
-        .groupBy("field", "term", "region")
+        moved.join(F.broadcast(sizes.select("field", "average")), "field")
+        .groupBy("bucket", "slice", "field", "term", "region")
         .agg(F.count("*").alias("size"), F.max(impact).alias("top"), F.collect_list(F.struct("id", "tf", "length")).alias("postings"))
-        .withColumn("bucket", _bucket(F.col("term"), buckets))
     )
-    spread = blocks.repartition("bucket", F.pmod(F.col("region"), F.lit(SLICES))).sortWithinPartitions("bucket", "term", "region")
+    spread = blocks.select("field", "term", "region", "size", "top", "postings", "bucket").sortWithinPartitions("bucket", "term", "region")
     spread.write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/blocks")
 
     terms = index.table("blocks").groupBy("field", "term").agg(F.sum("size").cast("double").alias("df"))

@@ -143,3 +143,13 @@ def test_beginnings_are_the_same_in_spark(spark):
     got = {r.w: set(r.x) for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", p.beginnings(F.col("w")).alias("x")).collect()}
     assert got == {w: set(p.beginnings_of(w, 2)) for w in words}
     assert len(p.beginnings_of("abcdefgh", 2, 3)) < len(p.beginnings_of("abcdefgh", 2))
+
+
+def test_writing_moves_a_posting_once(spark, tmp_path):
+    """Words are counted in their row: only blocks, not (word, document) pairs, are grouped, and without a second shuffle."""
+    rows = [(1, ["b", "a", "b"]), (2, []), (3, ["é"] * 4 + ["z"]), (4, None)]
+    df = spark.createDataFrame(rows, "id int, words array<string>")
+    counted = df.select("id", F.inline(p.word_counts(F.col("words"))))
+    assert {tuple(r) for r in counted.collect()} == {(1, "a", 1.0), (1, "b", 2.0), (3, "z", 1.0), (3, "é", 4.0)}
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert len(p.beginnings_of("dictionary", 2)) <= 16
