@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from larder.llm.common import map_arrow, new_folder, shuffles_removed, table, texts_of
+from larder.llm.common import map_arrow, new_folder, shuffles_removed, table
 from larder.llm.tokens import encoder, vocabulary_path
 
 OPTIONS = {
@@ -39,7 +39,6 @@ def write(
     end id alone.  An empty table writes an empty corpus.
     """
     path = path or vocabulary_path()
-    end = int(end_id).to_bytes(4, "little")
     spark = docs.sparkSession
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(
@@ -54,18 +53,21 @@ def write(
         context = TaskContext.get()
         shard, task = context.partitionId(), context.taskAttemptId()
         at = starts.get(task, 0)
-        encode = encoder(path).encode
-        keys, firsts, sizes, ids = [], [], [], []
-        for key, value in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            made = np.frombuffer(encode(value) + end, "<u4").astype("int32")
-            keys.append(key), firsts.append(at), sizes.append(len(made)), ids.append(made)
-            at += len(made)
-            if sum(map(len, ids[-64:])) > 2 << 20 or len(ids) >= 4096:
-                yield {"doc_id": keys, "shard": [shard] * len(keys), "shard_start": firsts, "n_tokens": sizes, "tokens": ids}
-                keys, firsts, sizes, ids = [], [], [], []
+        ids, counts = encoder(path).encode_all(batch.column("text"))
+        ends = np.cumsum(counts)  # where the end id of each text goes
+        sizes = counts + 1
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        firsts = at + offsets[:-1]
         starts.clear()
-        starts[task] = at
-        yield {"doc_id": keys, "shard": [shard] * len(keys), "shard_start": firsts, "n_tokens": sizes, "tokens": ids}
+        starts[task] = at + int(offsets[-1])
+        ids = pa.array(np.insert(ids.view("<i4"), ends, end_id))
+        return {
+            "doc_id": batch.column("doc_id").to_pylist(),
+            "shard": np.full(len(sizes), shard, "int32"),
+            "shard_start": firsts,
+            "n_tokens": sizes,
+            "tokens": pa.ListArray.from_arrays(pa.array(offsets.astype("int32")), ids),
+        }
 
     with shuffles_removed(spark):
         map_arrow(ordered, schema, of).write.options(**OPTIONS).parquet(f"{folder}/tokens")

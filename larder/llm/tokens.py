@@ -11,6 +11,10 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 VOCABULARY = "word_bpe_49k.json"
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 _BOUND = 400_000
@@ -46,9 +50,14 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
 
     def _word(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
+        # printable ASCII stands for itself
+        return [t.id for t in self.model.tokenize(word if word.isascii() else "".join([self.letters[b] for b in word.encode()]))]
 
     def _new(self, part: str) -> bytes:
+        if not part:
+            return b""
+        if part.isascii() and part.isalpha():
+            return array("I", [t.id for t in self.model.tokenize(part.lower())]).tobytes()
         simple = _LATIN.fullmatch(part)
         if simple:  # letters that no normalisation changes but for their case, then one run of marks
             ids = self._word(simple[1].lower()) + (self._word(simple[2]) if simple[2] else [])
@@ -57,6 +66,9 @@ class WordEncoder:
         return array("I", ids).tobytes()
 
     def _of(self, part: str) -> bytes:
+        ids = self.young.get(part)
+        if ids is not None:  # met a second time in one text
+            return ids
         ids = self.old.get(part)
         if ids is None:
             ids = self._new(part)
@@ -67,13 +79,31 @@ class WordEncoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        parts = text.replace("\n", " ").split(" ")
+        found = [*map(self.young.get, parts)]
+        if None in found:
+            of = self._of
+            found = [of(part) if ids is None else ids for part, ids in zip(parts, found)]
+        return b"".join(found)
+
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a batch in a row, and how many each text has; null is empty.
+
+        Each different part of the batch is looked up once.
+        """
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        parts = split.flatten().dictionary_encode()
         get, of = self.young.get, self._of
-        out = []
-        for part in text.replace("\n", " ").split(" "):
-            if part:
-                ids = get(part)
-                out.append(of(part) if ids is None else ids)
-        return b"".join(out)
+        made = [of(part) if (ids := get(part)) is None else ids for part in parts.dictionary.to_numpy(zero_copy_only=False)]
+        known = np.frombuffer(b"".join(made), "<u4")
+        sizes = np.fromiter(map(len, made), "int64", len(made)) // 4
+        nth = parts.indices.to_numpy()
+        per_part = sizes[nth]
+        ends = np.concatenate(([0], np.cumsum(per_part)))
+        starts = (np.cumsum(sizes) - sizes)[nth]
+        ids = known[np.repeat(starts - ends[:-1], per_part) + np.arange(ends[-1])]
+        return ids, np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
 
 
 @lru_cache(maxsize=2)
