@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.embedding import HashingEncoder, cosine, dot, embed, embedding_text
+from larder.functions.embedding import HashingEncoder, cosine, dot, embed, embedding_text, scalar_products
+from larder.functions.staging import once
 from larder.operators.documents import sync_documents
 
 
@@ -49,19 +50,17 @@ def sync_with_vectors(
 
 
 def nearest(
-    vectors: DataFrame, query: Column, k: int, id: str = "id", vector: str = "embedding", score: str = "score"
+    vectors: DataFrame, query: Column | list[float], k: int, id: str = "id", vector: str = "embedding", score: str = "score"
 ) -> DataFrame:
-    """Exact top k by cosine.  `query` is one constant vector (a literal or a one-row subquery), so every
+    """Exact top k by cosine.  `query` is one constant vector (numbers, a literal or a one-row subquery), so every
     task scores its own rows and passes on k of them."""
-    similarity = F.round(cosine(F.col(vector), F.col("_query")), 6)
-    return (
-        vectors.where(F.col(vector).isNotNull())
-        .withColumn("_query", query)
-        .withColumn(score, similarity)
-        .drop("_query")
-        .orderBy(F.desc(score), id)
-        .limit(k)
-    )
+    if isinstance(query, Column):
+        # Arrow functions take no subquery: it has to be a column before
+        vectors, query = once(vectors, _query=query), F.col("_query")
+    scored = vectors.withColumn("_products", scalar_products(F.col(vector), query)).withColumn(score, F.round(cosine(F.col("_products")), 6))
+    # rows without a vector go after the limit: a condition before it would have texts encoded a second time
+    best = scored.orderBy(F.desc(score), F.col("_products").isNull(), id).limit(k)
+    return best.where(F.col("_products").isNotNull()).drop("_products", "_query")
 
 
 def nearest_to(vectors: DataFrame, own: Column, k: int, id: str = "id", vector: str = "embedding") -> DataFrame:
@@ -70,10 +69,10 @@ def nearest_to(vectors: DataFrame, own: Column, k: int, id: str = "id", vector:
     return nearest(vectors.where(~own), query, k, id, vector)
 
 
-def encode_query(vectors: DataFrame, text: str, encoder: Callable[[], object] = HashingEncoder) -> Column:
-    """The vector of a query text, as a one-row subquery; it goes through the same encoder as the stored texts."""
-    row = vectors.sparkSession.range(1).select(F.lit(text).alias("_text"))
-    return embed(row, "_text", encoder).select("embedding").scalar()
+def encode_query(vectors: DataFrame, text: str, encoder: Callable[[], object] = HashingEncoder) -> list[float]:
+    """The vector of a query text, which comes to the driver; it goes through the same encoder as the stored texts."""
+    row = vectors.sparkSession.range(0, 1, 1, 1).select(F.lit(text).alias("_text"))
+    return embed(row, "_text", encoder).first()["embedding"]
 
 
 def semantic_search(

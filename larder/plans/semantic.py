@@ -147,8 +147,11 @@ def v8_whole_text(spark, sf_dir):
 
 
 def nearest_recipes(texts, query, k):
-    """The k recipes (id, text) nearest to a query text, by the default encoder."""
-    return vectors.semantic_search(_directed(embed(texts, "text")), query, k).select("id", "score")
+    """The k recipes (id, text) nearest to a query text, by the default encoder.
+
+    Those without direction have no score and come last, so they can go after the limit; vectors stay in Python.
+    """
+    return vectors.semantic_search(embed(texts, "text"), query, k).select("id", "score").where("score IS NOT NULL")
 
 
 def v5_recipe_text(spark, sf_dir):
