@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from larder import lexicon
+from larder.functions.text import let
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -22,6 +23,24 @@ def tokens(text: Column, stop_words: bool = True) -> Column:
     return F.filter(all_words, lambda w: ~w.isin(lexicon.STOP_WORDS))
 
 
+def word_counts(words: Column) -> Column:
+    """(term, tf) of the distinct words of an array: the lengths of runs of equal words once it is sorted."""
+
+    def runs(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s) - 1)
+        first = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(
+            first,
+            lambda at: F.transform(
+                at,
+                lambda i, n: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, n + 1), F.size(s)) - i).cast("double").alias("tf")),
+            ),
+        )
+
+    none = F.array().cast("array<struct<term:string,tf:double>>")
+    return let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none))
+
+
 # --- stemming: the algorithm of M. F. Porter, "An algorithm for suffix stripping", 1980 ------------------
 _STEP_2 = {
     "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "abli": "able",

@@ -19,9 +19,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.functions.analysis import porter_stem, stem_words, tokens
+from larder.functions.analysis import porter_stem, stem_words, tokens, word_counts
 from larder.functions.staging import once
-from larder.functions.text import let
 from larder.operators.ingredients import allowed_edits, within_edits
 from larder.operators.search import bm25, idf, query_terms
 
@@ -53,24 +52,6 @@ def beginnings_of(word: str, edits: int, prefix: int = 0) -> list[str]:
     return sorted({"".join(c for i, c in enumerate(start) if i not in gone) for k in range(edits + 1) for gone in combinations(places, k)})
 
 
-def word_counts(words: Column) -> Column:
-    """(term, tf) of the distinct words of an array: the lengths of runs of equal words once it is sorted."""
-
-    def runs(s: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(s) - 1)
-        first = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        return let(
-            first,
-            lambda at: F.transform(
-                at,
-                lambda i, n: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, n + 1), F.size(s)) - i).cast("double").alias("tf")),
-            ),
-        )
-
-    none = F.array().cast("array<struct<term:string,tf:double>>")
-    return let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none))
-
-
 # stated, so that tables without rows, and so without files, can be read
 _SCHEMAS = {
     "blocks": "field string, term string, region long, size long, top double, postings array<struct<id:{id},tf:double,length:double>>, bucket int",

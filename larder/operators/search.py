@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.analysis import porter_stem, stem_words, tokens
+from larder.functions.analysis import porter_stem, stem_words, tokens, word_counts
 from larder.functions.staging import once
 from larder.functions.text import let
 from larder.lexicon import STOP_WORDS
@@ -193,29 +193,38 @@ def highlight(text: Column, query: str, before: str = "<em>", after: str = "</em
 
 
 # --- index --------------------------------------------------------------------------------------------------
-def build_index(docs: DataFrame, fields: list[str], id: str = "id") -> dict[str, DataFrame]:
+def build_index(docs: DataFrame, fields: list[str], id: str = "id", cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """Postings (field, term, id, tf, length), document frequencies, and field statistics.
 
-    Postings are counted per document and term: the key holds the document, so no word is hot.
+    Words are counted in their row, so no word is moved, but rows of the same id and length count as one document.
+    Frequencies and statistics come from the postings; `cut` may write these, so that texts are split into words once.
     """
-    split = once(docs.select(id, *fields), **{f"_w_{f}": tokens(F.col(f)) for f in fields})
-    per_field = F.explode(
-        F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_w_{f}").alias("words")) for f in fields])
-    )
-    listed = split.select(id, per_field.alias("x")).select(
-        id, "x.field", F.size("x.words").alias("length"), F.explode("x.words").alias("term")
-    )
-    postings = listed.groupBy("field", "term", id, "length").agg(F.count("*").alias("tf"))
-    lengths = split.select(id, per_field.alias("x")).select("x.field", F.size("x.words").alias("length"))
+    repeated = cut(docs.groupBy(id).agg(F.count("*").alias("rows")).where("rows > 1").select(F.col(id).alias("_repeated")))
+    same = F.col(id).eqNullSafe(F.col("_repeated"))
+    merged = _listed(docs.join(repeated, same, "left_semi"), fields, id).groupBy("field", "term", id, "length").agg(F.sum("tf").alias("tf"))
+    postings = cut(_listed(docs.join(repeated, same, "left_anti"), fields, id).unionByName(merged))
+    # all words of the texts of one length: as often that length as there are texts
+    lengths = postings.groupBy("field", "length").agg(F.sum("tf").alias("words"))
     return {
         "postings": postings,
         "terms": postings.groupBy("field", "term").agg(F.count("*").alias("df")),
-        "fields": lengths.where("length > 0").groupBy("field").agg(
-            F.count("*").alias("n"), F.avg("length").alias("average")
+        "fields": lengths.groupBy("field").agg(F.sum((F.col("words") / F.col("length")).cast("long")).alias("n"), F.sum("words").alias("words")).select(
+            "field", "n", (F.col("words") / F.col("n")).alias("average")
         ),
     }
 
 
+def _listed(docs: DataFrame, fields: list[str], id: str) -> DataFrame:
+    """(field, term, id, length, tf) of every row and distinct word."""
+    split = once(docs.select(id, *fields), **{f"_w_{f}": tokens(F.col(f)) for f in fields})
+    per_field = F.explode(
+        F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_w_{f}").alias("words")) for f in fields])
+    )
+    counted = F.inline(word_counts(F.col("x.words")))
+    listed = split.select(id, per_field.alias("x")).select("x.field", id, F.size("x.words").alias("length"), counted)
+    return listed.select("field", "term", id, "length", F.col("tf").cast("long").alias("tf"))
+
+
 def write_index(index: dict[str, DataFrame], path: str, buckets: int = 64, slices: int = 8) -> None:
     """Write the index, postings in folders by term bucket; a common term's postings go to several files."""
     bucketed = index["postings"].withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))

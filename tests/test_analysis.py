@@ -1,6 +1,10 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from larder.functions.analysis import analyze, porter_stem
+from larder.operators import search
+from larder.session import checkpointed
 
 EXAMPLES = dict(
     caresses="caress", ponies="poni", ties="ti", caress="caress", cats="cat", feed="feed", agreed="agre",
@@ -52,3 +56,24 @@ def test_index_keeps_its_layout(spark, tmp_path):
         read = search.read_index(spark, path)
         assert search.search_index(read, "alpha", {"title": 1.0}).count() == 50
         assert {r["id"] for r in search.search_index(read, "w17 w49", {"title": 1.0}).collect()} == {17, 49}
+
+
+def test_index_of_repeated_ids(spark):
+    texts = [(1, "alpha beta alpha"), (1, "beta gamma alpha"), (1, "beta"), (2, "delta"), (None, "alpha alpha"), (None, "alpha beta"), (3, None), (4, " - ")]
+    index = search.build_index(spark.createDataFrame(texts, "id long, title string"), ["title"])
+    words = [(i, len(t.split()), w) for i, t in texts if t and t != " - " for w in t.split()]
+    want = Counter(words)
+    got = index["postings"].collect()
+    assert Counter({(r["id"], r["length"], r["term"]): r["tf"] for r in got}) == want and len(got) == len(want)
+    assert {r["term"]: r["df"] for r in index["terms"].collect()} == Counter(w for _, _, w in want)
+    assert [tuple(r) for r in index["fields"].collect()] == [("title", 6, 12 / 6)]
+    assert index["postings"].dtypes == [("field", "string"), ("term", "string"), ("id", "bigint"), ("length", "int"), ("tf", "bigint")]
+
+
+def test_index_splits_texts_once(spark, capsys):
+    docs = spark.createDataFrame([(i, f"alpha w{i}") for i in range(20)], "id long, title string")
+    index = search.build_index(docs, ["title"], cut=checkpointed)
+    for name in ("postings", "terms", "fields"):
+        index[name].explain()
+    assert "regexp_extract_all" not in capsys.readouterr().out
+    assert search.search_index(index, "w7", {"title": 1.0}).first()["id"] == 7
